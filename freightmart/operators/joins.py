@@ -27,29 +27,57 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, names: dict[st
     return df.join(side, df[key] == side["__dim_key"], "left").drop("__dim_key")
 
 
-def link_full_join(one: DataFrame, many: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+HOT_ROWS = 5_000_000
+MAX_SALTS = 1024
+
+
+def link_full_join(
+    one: DataFrame, many: DataFrame, pairs: Sequence[tuple[str, str]], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Full outer join of a document side with the side that points to it.
 
-    ``pairs`` are (column of ``one``, column of ``many``). Written as
-    ``many LEFT JOIN one`` plus the rows of ``one`` nobody points to: a left
-    and an anti join can both be split on a hot key at run time, a full outer
-    join cannot. Rows of ``many`` with a NULL link skip the join and its
-    shuffle, so missing links do not pile up in one partition.
+    ``pairs`` are (column of ``one``, column of ``many``). Adaptive execution
+    cannot split a full outer join, so hot keys are salted here: a key with
+    more than ``hot_rows`` rows on the pointing side is spread over as many
+    salts as it needs, and its rows of ``one`` are offered to every salt. The
+    copies that found nothing are dropped again, because the key is known to
+    be met. Rows with a NULL key never match; they get a salt of their own
+    and do not pile up in one partition. Both inputs are read once, ``many``
+    once more for its key counts.
     """
-    links = [b for _, b in pairs]
-    linked = reduce(lambda a, b: a & b, [F.col(b).isNotNull() for b in links])
-    columns = [*one.columns, *many.columns]
-
-    pointing = many.where(linked)
-    joined = pointing.join(one, equal(one, pointing, pairs), "left").select(*columns)
-    dangling = many.where(~linked).select(
-        *[F.lit(None).cast(one.schema[c].dataType).alias(c) for c in one.columns], *many.columns
+    ones, links = [a for a, _ in pairs], [b for _, b in pairs]
+    both = reduce(lambda x, y: x & y, [F.col(b).isNotNull() for b in links])
+    # at most rows / hot_rows keys can be hot, a few thousand per ten billion rows
+    hot = (
+        many.where(both).groupBy(*[F.col(b).alias(f"__h{i}") for i, b in enumerate(links)])
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > hot_rows)
+        .select(*[f"__h{i}" for i in range(len(links))],
+                F.least(F.ceil(F.col("__n") / hot_rows), F.lit(MAX_SALTS)).cast("int").alias("__salts"))
+    )
+
+    def with_salts(df: DataFrame, keys: list[str]) -> DataFrame:
+        known = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"__h{i}") for i, k in enumerate(keys)])
+        return df.join(F.broadcast(hot), known, "left").drop(*[f"__h{i}" for i in range(len(keys))])
+
+    def spread(df: DataFrame, salts: Column) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), salts).cast("int")
+
+    def lone(keys: list[str]) -> Column:
+        return reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+
+    right = with_salts(many, links).withColumn(
+        "__salt", F.when(lone(links), spread(many, F.lit(MAX_SALTS)))
+        .when(F.col("__salts").isNotNull(), spread(many, F.col("__salts"))).otherwise(F.lit(0))
+    ).drop("__salts").withColumn("__met", F.lit(True))
+    left = with_salts(one, ones).withColumn(
+        "__salt", F.explode(
+            F.when(lone(ones), F.array(spread(one, F.lit(MAX_SALTS))))
+            .when(F.col("__salts").isNotNull(), F.sequence(F.lit(0), F.col("__salts") - 1)).otherwise(F.array(F.lit(0))))
     )
-    seen = pointing.select(*[F.col(b).alias(f"__{b}") for b in links]).distinct()
-    untouched = one.join(
-        seen, reduce(lambda a, b: a & b, [one[a] == seen[f"__{b}"] for a, b in pairs]), "left_anti"
-    ).select(*one.columns, *[F.lit(None).cast(many.schema[c].dataType).alias(c) for c in many.columns])
-    return joined.unionByName(dangling).unionByName(untouched)
+    joined = left.join(right, equal(left, right, [*pairs, ("__salt", "__salt")]), "full")
+    idle_copy = F.col("__met").isNull() & F.col("__salts").isNotNull()
+    return joined.where(~idle_copy).select(*one.columns, *many.columns)
 
 
 def within_seconds(

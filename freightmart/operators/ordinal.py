@@ -17,51 +17,67 @@ from pyspark.sql import functions as F
 CHUNK = 1_000_000
 
 
+SPREAD = 4096
+
+
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-    coarse: Column | None = None, collapse: bool = True,
+    coarse: Column | None = None, collapse: bool = True, where: Column | None = None, sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of every ``keys`` group from 1, ascending by ``order``.
 
     ``order`` lists columns (ascending, NULL last). The remaining columns are
     appended to make the order total. ``coarse`` must not decrease when the
-    rows are read in that order; a constant means the groups are known small.
-    ``collapse=False`` says the rows are already distinct.
+    rows are read in that order; without it the groups must be known small.
+    ``collapse=False`` says the rows are already distinct. Rows outside
+    ``where`` are not numbered and get 0. ``sizes_from`` is a frame with the
+    same rows to count the slices from, when ``df`` itself is costlier to
+    compute again.
     """
     columns = df.columns
     rest = [c for c in columns if c not in keys and c not in order]
     sort = [F.col(c).asc_nulls_last() for c in [*order, *rest]]
-    slice_value = F.lit(0) if coarse is None else coarse
+    counted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        # one struct key keeps NULL keys equal and lets window and join share a shuffle
+        slice_value = F.lit(0) if coarse is None else coarse
+        return rows.withColumn(
+            "__slice", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], slice_value.alias("c"))
+        )
 
     if collapse:
         rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
     else:
         rows = df.withColumn("__copies", F.lit(1).cast("long"))
-    # one struct key keeps NULL keys equal and lets window and join share a shuffle
-    rows = rows.withColumn("__slice", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], slice_value.alias("c")))
-
-    within = Window.partitionBy("__slice").orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = rows.withColumn("__end", F.sum("__copies").over(within))
+    rows = sliced(rows).withColumn("__on", counted)
+    partition = [F.col("__slice")]
+    if where is not None:
+        # rows that are not numbered are dealt out evenly instead of forming one group
+        partition.append(F.when(~counted, F.pmod(F.xxhash64(*order), F.lit(SPREAD))))
+    within = Window.partitionBy(*partition).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumn("__end", F.sum("__copies").over(within))
 
-    if coarse is None:
-        placed = numbered.withColumn("__end", F.col("__end"))
-    else:
+    if coarse is not None:
         group = [F.col(f"__slice.k{i}") for i in range(len(keys))]
         earlier = (
             Window.partitionBy(*group)
             .orderBy(F.col("__slice.c").asc_nulls_last())
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        sizes = rows.groupBy("__slice").agg(F.sum("__copies").alias("__size"))
+        source = rows if sizes_from is None else sliced(sizes_from).withColumn("__copies", F.lit(1).cast("long"))
+        sizes = source.where(counted).groupBy("__slice").agg(F.sum("__copies").alias("__size"))
         offsets = sizes.select("__slice", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
-        placed = numbered.join(offsets, "__slice").withColumn("__end", F.col("__end") + F.col("__before"))
+        placed = placed.join(offsets, "__slice", "left").withColumn("__end", F.col("__end") + F.coalesce("__before", F.lit(0)))
 
+    number = F.when(F.col("__on"), F.col("__end")).otherwise(0) if where is not None else F.col("__end")
     if not collapse:
-        return placed.select(*columns, F.col("__end").alias(out))
+        return placed.select(*columns, number.alias(out))
     chunked = placed.withColumn("__chunk", F.explode(F.expr(f"sequence(0, (__copies - 1) div {CHUNK})")))
     first = F.col("__end") - F.col("__copies") + F.col("__chunk") * CHUNK
     last = F.least(first + CHUNK, F.col("__end"))
-    return chunked.select(*columns, F.explode(F.sequence(first + 1, last)).alias(out))
+    numbered = chunked.select(*columns, "__on", F.explode(F.sequence(first + 1, last)).alias(out))
+    return numbered.withColumn(out, F.when(F.col("__on"), F.col(out)).otherwise(0)).drop("__on")
 
 
 def pair_by_ordinal(

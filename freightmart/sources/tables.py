@@ -13,9 +13,12 @@ class ParquetTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._opened: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
