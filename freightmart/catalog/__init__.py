@@ -1,4 +1,4 @@
 """Queries over the test tables."""
 
-from . import agreement, columns, recon, stock, windows  # noqa: F401
+from . import agreement, columns, money, recon, stock, windows  # noqa: F401
 from .registry import QUERIES  # noqa: F401

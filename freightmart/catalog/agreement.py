@@ -114,8 +114,8 @@ svod AS (
 SELECT {_ladder_sql(_4PL_HEAD, convergence.COMMENTS_4PL, _4PL_TAIL, 2)} ELSE 'Прочие ошибки' END AS error,
        {_ladder_sql(_4PL_HEAD, convergence.COMMENTS_4PL, _4PL_TAIL, 1)} ELSE '17' END AS error_code,
        svod.ref, svod.order_id, svod.warehouse, issue_number, item_id, quantity::DOUBLE AS quantity, partner_id, partner_deleted, receipt_deleted,
-       partner_item, partner_quantity::DOUBLE AS partner_quantity, archive_document, comment, z.warehouse AS order_warehouse
-FROM svod LEFT JOIN orders4 z ON z.order_id = coalesce(svod.order_id, svod.partner_id)
+       partner_item, partner_quantity::DOUBLE AS partner_quantity, archive_document, comment, order_warehouse
+FROM svod LEFT JOIN (SELECT order_id AS z_id, warehouse AS order_warehouse FROM orders4) z ON z_id = coalesce(svod.order_id, svod.partner_id)
 WHERE has_error = 'Да'
 """)
 def convergence_4pl(t):
@@ -242,7 +242,7 @@ def waybill_tables(t):
     register = rows.where(F.col("l_linestatus") == "O").select(
         F.when(F.col("l_linenumber") == 1, F.lit(fixed.ZERO_REF)).otherwise(key).alias("document"),
         F.explode(F.array(F.struct(F.lit("R").alias("status"), F.col("l_shipdate").alias("period")),
-                          F.struct(flag, F.col("o_orderdate")))).alias("x")).select("document", "x.status", "x.period")
+                          F.struct(flag.alias("status"), F.col("o_orderdate").alias("period")))).alias("x")).select("document", "x.status", "x.period")
     names = t.lineitem.select(F.col("l_returnflag").alias("ref")).distinct().where(F.col("ref") != "A").select(
         "ref", F.concat(F.lit("status "), "ref").alias("name"))
     return routes, route_lines, requests, statuses, packages, sales, register, names

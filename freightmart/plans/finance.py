@@ -139,7 +139,7 @@ def period_increment(rows: DataFrame, stored: DataFrame, as_of: date) -> DataFra
     """
     this_month = F.trunc(F.lit(as_of.isoformat()).cast("date"), "month")
     closed = F.add_months(this_month, -1)
-    mark = {"request": F.col("request_number"), "price": F.ceil("price")}
+    mark = {"request": F.col("request_number"), "price": F.ceil("price").cast("decimal(38,0)")}
     known = stored.where(F.col("date_d") >= F.trunc(closed, "year"))
     return changed_rows(period_rows(rows, as_of), known, mark).withColumn("date_d_month", closed)
 
