@@ -94,8 +94,8 @@ c AS (
   SELECT *, string_agg(route_number, ', ' ORDER BY route_number) OVER p AS routes, count(route_number) OVER p AS count_routes,
          first_value(payer) OVER newest AS client, first_value(payer_group) OVER newest AS client_group,
          first_value(delivery_type) OVER oldest AS delivery_type1,
-         CASE WHEN count(route_number) OVER p > 1 THEN first_value(delivery_type) OVER newest END AS delivery_type2,
-         first_value(route_type) OVER oldest AS route_type1, first_value(route_type) OVER newest AS route_type2,
+         CASE WHEN count(route_number) OVER p > 1 THEN first_value(delivery_type) OVER last_route END AS delivery_type2,
+         first_value(route_type) OVER oldest AS route_type1, first_value(route_type) OVER last_route AS route_type2,
          first_value(trailer_type) OVER oldest AS trailer_type1, first_value(created_in) OVER oldest AS created,
          first_value(CASE WHEN is_consolidation = 0 THEN 'Прямой рейс' ELSE 'Через склад' END) OVER oldest AS first_trip,
          max(coalesce(is_consolidation, 0)) OVER p AS any_consolidation,
@@ -103,15 +103,16 @@ c AS (
          sum(class1 + class2 + class3 + class4 + class5 + class6 + class7 + class8 + class9) OVER p AS danger, sum(fast) OVER p AS fast_sum,
          sum(side + top) OVER p AS top_side, sum(distance) OVER p AS distance_sum,
          first_value(CASE WHEN weight > 1000 THEN weight / 1000 ELSE weight END) OVER oldest AS first_weight,
-         first_value(status) OVER newest AS last_status,
+         first_value(status) OVER last_route AS last_status,
          coalesce(final_status IN ('Доставлен', 'Отгружен', 'В работе', 'В пути', 'Водитель назначен', 'Доставлено', 'Выполнено', 'Выполнена'), false) AS status_fin,
          coalesce(final_status IN ('Доставлен', 'Доставлено', 'Выполнено', 'Выполнена'), false) AS settled,
          sum(coalesce(request_price, 0)) OVER p AS total,
-         row_number() OVER (PARTITION BY request_number ORDER BY date_d DESC NULLS FIRST, route_date DESC NULLS LAST, route_number DESC NULLS LAST) AS rn,
+         row_number() OVER (PARTITION BY request_number ORDER BY date_d DESC NULLS FIRST, route_date DESC NULLS LAST, route_number DESC NULLS LAST, updated_at DESC) AS rn,
          row_number() OVER (PARTITION BY request_number ORDER BY route_date DESC NULLS LAST, route_number DESC NULLS LAST) AS top_rn
   FROM e
   WINDOW p AS (PARTITION BY request_number),
          newest AS (PARTITION BY request_number ORDER BY {{client}} DESC NULLS FIRST, route_number DESC NULLS LAST),
+         last_route AS (PARTITION BY request_number ORDER BY route_date DESC NULLS FIRST, route_number DESC NULLS LAST),
          oldest AS (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST))
 """
 # an absent route number sorts below every other one in both directions
@@ -204,7 +205,8 @@ SELECT request_number, route_number, strftime(route_date, '%Y-%m-%d %H:%M:%S') A
        (coalesce(customer_price, 0) - coalesce(carrier_price, 0))::DOUBLE AS profit,
        CASE WHEN rn = 1 THEN CASE WHEN created_in = 'xPlanet' THEN coalesce(request_price, 0) ELSE asked END ELSE 0 END::DOUBLE AS price_all
 FROM w
-""".replace("{rest}", "request_date, route_number"))
+""".replace(
+    "{rest}", "request_date, route_number, payer, payer_group, delivery_type, route_type, trailer_type, created_in, is_consolidation, customer_price"))
 def request_cost(t):
     weight = F.col("weight")
     rows = route_rows(t).withColumns({

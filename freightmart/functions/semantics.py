@@ -59,17 +59,18 @@ def latest(value: Column | str, by: Column | str, *ties: Column | str, nulls_win
     """Aggregate: the value on the row with the greatest ``by``.
 
     With ``nulls_win`` a NULL ``by`` counts as the greatest, as in a descending
-    sort with NULL first. Combines map-side, so a hot key stays one small buffer.
+    sort with NULL first. Remaining ties go to the greatest value, so the result
+    is repeatable. Combines map-side, so a hot key stays one small buffer.
     """
-    by = as_column(by)
+    by, value = as_column(by), as_column(value)
     flag = by.isNull() if nulls_win else by.isNotNull()
-    return F.max_by(as_column(value), F.struct(flag, by, *[as_column(t) for t in ties]))
+    return F.max_by(value, F.struct(flag, by, *[as_column(t) for t in ties], value))
 
 
 def earliest(value: Column | str, by: Column | str, *ties: Column | str) -> Column:
     """Aggregate: the value on the row with the smallest ``by``, NULL last."""
-    by = as_column(by)
-    return F.min_by(as_column(value), F.struct(by.isNull(), by, *[as_column(t) for t in ties]))
+    by, value = as_column(by), as_column(value)
+    return F.min_by(value, F.struct(by.isNull(), by, *[as_column(t) for t in ties], value))
 
 
 # --- dates ----------------------------------------------------------------

@@ -85,7 +85,7 @@ def request_rollup(rows: DataFrame, null_route_date_first: bool = True) -> DataF
         first(tons).alias("weight"),
         last("status").alias("status"),
         F.max(route_date).alias("last_route_date"),
-        latest(shown, "date_d", route_date, "route_number").alias("__row"),
+        latest(shown, "date_d", route_date, "route_number", "updated_at").alias("__row"),
         latest(F.struct("route_number", "route_date"), route_date, "route_number", nulls_win=False).alias("__top"),
     )
     active = F.col("__row.final_status").isin(*fixed.FINAL_ACTIVE)
