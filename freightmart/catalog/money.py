@@ -93,17 +93,17 @@ e AS (
 c AS (
   SELECT *, string_agg(route_number, ', ' ORDER BY route_number) OVER p AS routes, count(route_number) OVER p AS count_routes,
          first_value(payer) OVER newest AS client, first_value(payer_group) OVER newest AS client_group,
-         first_value(delivery_type) OVER oldest AS delivery_type1,
-         CASE WHEN count(route_number) OVER p > 1 THEN first_value(delivery_type) OVER last_route END AS delivery_type2,
-         first_value(route_type) OVER oldest AS route_type1, first_value(route_type) OVER last_route AS route_type2,
-         first_value(trailer_type) OVER oldest AS trailer_type1, first_value(created_in) OVER oldest AS created,
-         first_value(CASE WHEN is_consolidation = 0 THEN 'Прямой рейс' ELSE 'Через склад' END) OVER oldest AS first_trip,
+         first_value(delivery_type) OVER (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST, delivery_type ASC NULLS FIRST) AS delivery_type1,
+         CASE WHEN count(route_number) OVER p > 1 THEN first_value(delivery_type) OVER (PARTITION BY request_number ORDER BY route_date DESC NULLS FIRST, route_number DESC NULLS LAST, delivery_type DESC NULLS LAST) END AS delivery_type2,
+         first_value(route_type) OVER (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST, route_type ASC NULLS FIRST) AS route_type1, first_value(route_type) OVER (PARTITION BY request_number ORDER BY route_date DESC NULLS FIRST, route_number DESC NULLS LAST, route_type DESC NULLS LAST) AS route_type2,
+         first_value(trailer_type) OVER (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST, trailer_type ASC NULLS FIRST) AS trailer_type1, first_value(created_in) OVER (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST, created_in ASC NULLS FIRST) AS created,
+         first_value(CASE WHEN is_consolidation = 0 THEN 'Прямой рейс' ELSE 'Через склад' END) OVER (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST, CASE WHEN is_consolidation = 0 THEN 'Прямой рейс' ELSE 'Через склад' END ASC NULLS FIRST) AS first_trip,
          max(coalesce(is_consolidation, 0)) OVER p AS any_consolidation,
          sum(customer_price) OVER p AS price, sum(carrier_price) OVER p AS cost,
          sum(class1 + class2 + class3 + class4 + class5 + class6 + class7 + class8 + class9) OVER p AS danger, sum(fast) OVER p AS fast_sum,
          sum(side + top) OVER p AS top_side, sum(distance) OVER p AS distance_sum,
-         first_value(CASE WHEN weight > 1000 THEN weight / 1000 ELSE weight END) OVER oldest AS first_weight,
-         first_value(status) OVER last_route AS last_status,
+         first_value(CASE WHEN weight > 1000 THEN weight / 1000 ELSE weight END) OVER (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST, CASE WHEN weight > 1000 THEN weight / 1000 ELSE weight END ASC NULLS FIRST) AS first_weight,
+         first_value(status) OVER (PARTITION BY request_number ORDER BY route_date DESC NULLS FIRST, route_number DESC NULLS LAST, status DESC NULLS LAST) AS last_status,
          coalesce(final_status IN ('Доставлен', 'Отгружен', 'В работе', 'В пути', 'Водитель назначен', 'Доставлено', 'Выполнено', 'Выполнена'), false) AS status_fin,
          coalesce(final_status IN ('Доставлен', 'Доставлено', 'Выполнено', 'Выполнена'), false) AS settled,
          sum(coalesce(request_price, 0)) OVER p AS total,
@@ -112,8 +112,7 @@ c AS (
   FROM e
   WINDOW p AS (PARTITION BY request_number),
          newest AS (PARTITION BY request_number ORDER BY {{client}} DESC NULLS FIRST, route_number DESC NULLS LAST),
-         last_route AS (PARTITION BY request_number ORDER BY route_date DESC NULLS FIRST, route_number DESC NULLS LAST),
-         oldest AS (PARTITION BY request_number ORDER BY route_date ASC NULLS LAST, route_number ASC NULLS FIRST))
+         top_row AS (PARTITION BY request_number ORDER BY route_date DESC NULLS LAST, route_number DESC NULLS LAST))
 """
 # an absent route number sorts below every other one in both directions
 SHOWN_SQL = """
