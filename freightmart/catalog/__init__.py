@@ -1,4 +1,4 @@
 """Queries over the test tables."""
 
-from . import agreement, columns, money, recon, stock, tracking, windows  # noqa: F401
+from . import agreement, columns, maintenance, money, recon, stock, supply, tracking, windows  # noqa: F401
 from .registry import QUERIES  # noqa: F401
