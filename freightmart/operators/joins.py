@@ -46,26 +46,29 @@ def link_full_join(
     once more for its key counts.
     """
     ones, links = [a for a, _ in pairs], [b for _, b in pairs]
-    both = reduce(lambda x, y: x & y, [F.col(b).isNotNull() for b in links])
-    # at most rows / hot_rows keys can be hot, a few thousand per ten billion rows
+
+    def lone(keys: list[str]) -> Column:
+        return reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+
+    # Asking for every column gives this branch the same shuffles as the join
+    # itself, so Spark computes them once. At most rows / hot_rows keys can be
+    # hot, a few thousand per ten billion rows.
     hot = (
-        many.where(both).groupBy(*[F.col(b).alias(f"__h{i}") for i, b in enumerate(links)])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_rows)
+        many.groupBy(*[F.col(b).alias(f"__h{i}") for i, b in enumerate(links)])
+        .agg(F.count(F.lit(1)).alias("__n"), F.max(F.xxhash64(*many.columns)).alias("__all"))
+        .where((F.col("__n") > hot_rows) & F.col("__all").isNotNull())
         .select(*[f"__h{i}" for i in range(len(links))],
                 F.least(F.ceil(F.col("__n") / hot_rows), F.lit(MAX_SALTS)).cast("int").alias("__salts"))
     )
 
     def with_salts(df: DataFrame, keys: list[str]) -> DataFrame:
-        known = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"__h{i}") for i, k in enumerate(keys)])
-        return df.join(F.broadcast(hot), known, "left").drop(*[f"__h{i}" for i in range(len(keys))])
+        known = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
+        salted = df.join(F.broadcast(hot), known, "left").drop(*[f"__h{i}" for i in range(len(keys))])
+        return salted.withColumn("__salts", F.when(~lone(keys), F.col("__salts")))
 
     def spread(df: DataFrame, salts: Column) -> Column:
         return F.pmod(F.xxhash64(*df.columns), salts).cast("int")
 
-    def lone(keys: list[str]) -> Column:
-        return reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
-
     right = with_salts(many, links).withColumn(
         "__salt", F.when(lone(links), spread(many, F.lit(MAX_SALTS)))
         .when(F.col("__salts").isNotNull(), spread(many, F.col("__salts"))).otherwise(F.lit(0))

@@ -66,7 +66,15 @@ def number_rows(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         source = rows if sizes_from is None else sliced(sizes_from).withColumn("__copies", F.lit(1).cast("long"))
-        sizes = source.where(counted).groupBy("__slice").agg(F.sum("__copies").alias("__size"))
+        if where is None:
+            sizes = source.groupBy("__slice").agg(F.sum("__copies").alias("__size"))
+        else:
+            # no filter, and every column asked for: the branch keeps the shuffles of the
+            # rows it counts, and Spark computes them once for both
+            asked = df.columns if sizes_from is None else sizes_from.columns
+            sizes = source.groupBy("__slice").agg(
+                F.sum(F.when(counted, F.col("__copies"))).alias("__size"), F.max(F.xxhash64(*asked)).alias("__all")
+            ).where(F.col("__size").isNotNull() & F.col("__all").isNotNull())
         offsets = sizes.select("__slice", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
         placed = placed.join(offsets, "__slice", "left").withColumn("__end", F.col("__end") + F.coalesce("__before", F.lit(0)))
 
