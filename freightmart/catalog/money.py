@@ -247,7 +247,7 @@ def carrier_tables(t):
         F.when(F.col("l_returnflag") == "R", F.lit("CANCELED")).otherwise(F.lit("SHIPPED")).alias("status"), text("l_partkey").alias("truck"),
         F.col("l_linenumber").cast("string").alias("cancel_reason"), F.concat(F.lit("G"), key).alias("negotiation"),
         F.when(F.col("l_discount") == 0.0, F.lit("test")).otherwise(F.lit("driver")).alias("first_driver"),
-        F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey").alias("version"))
+        F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey", money("l_extendedprice").cast("string")).alias("version"))
     vehicles = t.part.select(text("p_partkey").alias("ref"), F.when(F.col("p_type") == "PROMO", F.lit("OWN")).otherwise(F.lit("RENT")).alias("right_to_use"))
     reasons = t.lineitem.where(F.col("l_linenumber") <= 2).select(F.col("l_linenumber").cast("string").alias("ref")).distinct()
     complex_routes = t.orders.where(F.col("o_orderpriority") == "3-MEDIUM").select(F.concat(F.lit("G"), text("o_orderkey")).alias("negotiation"))
@@ -259,7 +259,7 @@ tv AS (
   SELECT 'N' || l_orderkey AS number, l_suppkey AS carrier, 'T' || s_nationkey AS tax_id, 'G' || l_orderkey AS negotiation,
          CASE WHEN l_discount = 0 THEN 'test' ELSE 'driver' END AS first_driver,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'A' THEN l_shipdate + INTERVAL 40 DAY ELSE l_shipdate END DESC,
-                            concat_ws('-', l_linenumber, l_partkey, l_suppkey) DESC) AS rn,
+                            concat_ws('-', l_linenumber, l_partkey, l_suppkey, l_extendedprice::DECIMAL(18,2)) DESC) AS rn,
          l_extendedprice::DECIMAL(18,2) AS price, (p_type = 'PROMO')::INT AS own, (l_returnflag = 'R')::INT AS cancel, (l_linenumber <= 2)::INT AS blamed,
          CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'G' || l_orderkey END AS complex_route
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey),

@@ -44,7 +44,8 @@ def transport_versions(
     """Every version of a transport; price, flags and dates only on the current one.
 
     ``transports``: number, price, created_at, updated_at, carrier, status,
-    truck, cancel_reason, negotiation, first_driver, version.
+    truck, cancel_reason, negotiation, first_driver, version (unique within
+    a number).
     ``vehicles``: ref, right_to_use. ``carrier_reasons``: ref.
     ``branches``: org, tax_id. ``complex_routes``: negotiation.
     """
