@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .base import ship
 from .quality import quality_classifier
+from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,3 +34,8 @@ def query(sql: str | None = None) -> Callable:
 @query()
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -118,18 +118,27 @@ def words(texts: Texts, inside: np.ndarray | None = None) -> Words:
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of data[start:end] for each pair; the ranges are in order and do not overlap."""
-    out = np.zeros(len(start), np.uint64)
+    return prefix_hashes(data, start, end, [end])[0]
+
+
+def prefix_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, upto: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of data[start:x] for each array of ends x in ``upto``, none beyond ``end``.
+
+    A range's sum of table values times powers of its own places is a difference of running sums, moved to place 0.
+    """
+    out = [np.zeros(len(start), np.uint64) for _ in upto]
     at = 0
     while at < len(start):
-        upto = max(at + 1, int(np.searchsorted(end, start[at] + BLOCK, "right")))
-        lo, hi = int(start[at]), int(end[upto - 1])
-        length = (end[at:upto] - start[at:upto]).astype(np.int64)
-        # a word's sum of table values times powers of its own places: a difference of running sums, moved to place 0
+        to = max(at + 1, int(np.searchsorted(end, start[at] + BLOCK, "right")))
+        lo, hi = int(start[at]), int(end[to - 1])
         running = np.zeros(hi - lo + 1, np.uint64)
         np.cumsum(_TABLE[data[lo:hi]] * powers(hi - lo), out=running[1:])
-        out[at:upto] = (running[end[at:upto] - lo] - running[start[at:upto] - lo]) * inverses(hi - lo)[start[at:upto] - lo] + length.astype(np.uint64)
-        at = upto
-    return mix(out)
+        first = start[at:to] - lo
+        before, back = running[first], inverses(hi - lo)[first]
+        for x, made in zip(upto, out, strict=True):
+            made[at:to] = (running[x[at:to] - lo] - before) * back + (x[at:to] - start[at:to]).astype(np.uint64)
+        at = to
+    return [mix(x) for x in out]
 
 
 def shingles(hashed: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
