@@ -55,20 +55,20 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*out)
 
 
-def steps(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about STEP_BYTES of text in column ``text``; rows stay in order."""
+def steps(batches: Iterator[pa.RecordBatch], text: int = 1, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``size`` bytes of text in column ``text``; rows stay in order."""
     for batch in batches:
         at, rows = 0, batch.num_rows
         if rows == 0:
             continue
         column = batch.column(text)
-        if column.nbytes <= STEP_BYTES:
+        if column.nbytes <= size:
             yield batch
             continue
         lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         while at < rows:
             n, total = 1, int(lengths[at])
-            while at + n < rows and total + lengths[at + n] <= STEP_BYTES:
+            while at + n < rows and total + lengths[at + n] <= size:
                 total += int(lengths[at + n])
                 n += 1
             yield batch.slice(at, n)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .base import ship
+from .packing import best_fit_packing
 from .quality import quality_classifier
 from .toxicity import toxicity
 
@@ -39,3 +40,8 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit_packing(table(spark, folder, "documents"))
