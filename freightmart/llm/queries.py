@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .base import ship
+from .forest import nearest
 from .packing import best_fit_packing
 from .quality import quality_classifier
+from .topk import exact_top_k
 from .toxicity import toxicity
+from .urls import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +48,18 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing(table(spark, folder, "documents"))
+
+
+@query()
+def op7_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_top_k(table(spark, folder, "embeddings"))
+
+
+@query()
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"))
+
+
+@query()
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter(table(spark, folder, "pages"))
