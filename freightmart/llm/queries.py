@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .base import ship
 from .forest import nearest
 from .packing import best_fit_packing
+from .partenum import jaccard_join
 from .quality import quality_classifier
 from .topk import exact_top_k
 from .toxicity import toxicity
@@ -63,3 +64,8 @@ def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(table(spark, folder, "pages"))
+
+
+@query()
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join(table(spark, folder, "documents"))
