@@ -13,89 +13,31 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import keep, pick, steps
+from .parts import ENCODE_BYTES, PartEncoder
 
 CAPACITY = 2048
-#: Words whose ids a Python worker remembers before it forgets all and starts again.
-CACHE_WORDS = 600_000
-#: Bytes of text encoded together.
-ENCODE_BYTES = 2 << 20
 
 # A space before another white space, or at the end: there the pieces of byte-level BPE do not simply start at the space.
 _RUN = (r" (?:[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}"
         r"\x{3000}\x{feff}]|\z)")
 
 
-class ByteLevelEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, equal to the tokenizer's own.
+_encoders: dict[str, PartEncoder] = {}
 
-    Byte-level BPE starts a piece at every space that a visible character follows and encodes pieces on their own.
-    So a text can be cut before such spaces, and a part seen before needs no second encoding. Texts with other runs of
-    white space, or with a special token in them, go through the tokenizer whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, parts: list[str]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = [p for p in parts if p not in self.known]
-        self.known.update(zip(new, self.batch(new), strict=True))
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """The texts must not be null."""
-        odd = pc.match_substring_regex(texts, _RUN)
-        for token in self.special:
-            odd = pc.or_(odd, pc.match_substring(texts, token))
-        odd = odd.to_numpy(zero_copy_only=False)
-        out: list[bytes] = [b""] * len(texts)
-        for i, made in zip(np.flatnonzero(odd).tolist(), self.batch(texts.filter(pa.array(odd)).to_pylist()), strict=True):
-            out[i] = made
-        parts = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
-        flat, ends = parts.values.dictionary_encode(), parts.offsets.to_numpy()
-        if not len(parts):
-            return out
-        # a text's first part has no space before it: it gets an entry of its own
-        unit = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        heads = flat.dictionary.take(flat.indices.take(pa.array(ends[:-1]))).to_pylist()
-        units = [" " + p for p in flat.dictionary.to_pylist()]
-        unit[ends[:-1]] = len(units) + np.arange(len(heads))
-        units += heads
-        used = np.zeros(len(units), bool)
-        used[unit] = True
-        self.learn(list({u for u, x in zip(units, used, strict=True) if x}))
-        made = [self.known[u] if x else b"" for u, x in zip(units, used, strict=True)]
-        size = np.fromiter(map(len, made), np.int64, len(made)) // 4
-        ids = np.frombuffer(b"".join(made), "<u4")
-        first, n = (np.cumsum(size) - size)[unit], size[unit]
-        begins = np.concatenate([[0], np.cumsum(n)])
-        raw = ids[np.arange(begins[-1]) + np.repeat(first - begins[:-1], n)].tobytes()
-        rows = (begins[ends] * 4).tolist()
-        for i, a, b in zip(np.flatnonzero(~odd).tolist(), rows[:-1], rows[1:], strict=True):
-            out[i] = raw[a:b]
-        return out
-
-
-_encoders: dict[str, ByteLevelEncoder] = {}
-
-
-def encoder(path: str) -> ByteLevelEncoder:
+def encoder(path: str) -> PartEncoder:
+    """Byte-level BPE starts a piece at every space that a visible character follows, and encodes pieces on their own."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core
     if path not in _encoders:
-        _encoders[path] = ByteLevelEncoder(path)
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        _encoders[path] = PartEncoder(tokenizer, _RUN, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
     return _encoders[path]
 
 

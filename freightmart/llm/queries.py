@@ -10,6 +10,7 @@ from .base import ship
 from .forest import nearest
 from .packing import best_fit_packing
 from .partenum import jaccard_join
+from .pieces import piece_check
 from .quality import quality_classifier
 from .topk import exact_top_k
 from .toxicity import toxicity
@@ -69,3 +70,8 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(table(spark, folder, "documents"))
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_check(table(spark, folder, "documents"))
