@@ -30,6 +30,12 @@ BAND, SINGLE, ELEMENTS = 3, 80, 2.2
 HOT = 64
 #: Signatures that a task gathers before it deals them out to buckets, and documents for each bucket.
 FLUSH, BUCKET_DOCS = 1_500_000, 8192
+#: Shared signatures of pairs that are verified first.
+LIKELY = 3
+#: Pairs for each row of the open groups up to which all of them are counted.
+FEW_PAIRS = 40
+#: So many counted rows at most are broadcast.
+BROADCAST_ROWS = 1_000_000
 #: Rounds of one pivot a group before all pairs between unlinked parts of the remaining groups are verified.
 PIVOT_ROUNDS = 6
 
@@ -112,7 +118,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def dealt(docs: DataFrame, buckets: int) -> DataFrame:
-    """All signatures by bucket, packed: 48 bits of each, and the sets' keys with the number of signatures in a row."""
+    """All signatures by bucket, packed: 40 bits of each, and the sets' keys with the number of signatures in a row."""
 
     def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         key, made = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -125,7 +131,7 @@ def dealt(docs: DataFrame, buckets: int) -> DataFrame:
             k, s = key[ends[b]:ends[b + 1]], made[ends[b]:ends[b + 1]]
             if len(k):
                 change = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-                rows.append((b, s.astype("<u4").tobytes(), (s >> np.uint64(32)).astype("<u2").tobytes(), k[change].tobytes(),
+                rows.append((b, s.astype("<u4").tobytes(), (s >> np.uint64(32)).astype(np.uint8).tobytes(), k[change].tobytes(),
                              np.diff(np.append(change, len(k))).astype("<u4").tobytes()))
         kinds = (pa.int32(), *[pa.binary()] * 4)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -148,20 +154,20 @@ def dealt(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(made, "bucket int, low binary, high binary, keys binary, runs binary")
 
 
-EDGE, GROUP, SHARED = 0, 1, 2
+GROUP, SHARED = 0, 1
 
 
 def shared(packed: DataFrame) -> DataFrame:
     """What shares signatures, by kind of row.
 
-    EDGE: a and b, the least key of a signature's sets and another. GROUP: the keys of a signature with three or more
-    sets. SHARED: a is a hot signature, b a key that has it.
+    GROUP: the sorted keys that share n signatures of this bucket, and no other key does. SHARED: a is a hot signature,
+    b a key that has it.
     """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
         joined = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
-        sign = joined("low", "<u4").astype(np.int64) | joined("high", "<u2").astype(np.int64) << 32
+        sign = joined("low", "<u4").astype(np.int64) | joined("high", np.uint8).astype(np.int64) << 32
         key = np.repeat(joined("keys", np.int64), joined("runs", "<u4"))
         bucket = table["bucket"][0].as_py()
         del table
@@ -175,110 +181,141 @@ def shared(packed: DataFrame) -> DataFrame:
         first = np.ones(len(sign), bool)
         first[1:] = (sign[1:] != sign[:-1]) | (key[1:] != key[:-1])
         sign, key = sign[first], key[first]
-        begins = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]])) if len(sign) else np.zeros(0, np.int64)
+        if not len(sign):
+            return
+        begins = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
         size = np.diff(np.append(begins, len(sign)))
-        group = np.repeat(np.arange(len(begins)), size)
-        each = size[group]
-        least = key[begins][group] if len(begins) else key
-        edge = (each > 1) & (each <= HOT) & (key != least)
-        pairs = np.unique(np.stack([least[edge], key[edge]], axis=1), axis=0)
-        yield rows(EDGE, pairs[:, 0], pairs[:, 1])
-        hot = each > HOT
-        # the bucket's number stands before the signature: bucket and 48 bits name it everywhere
-        yield rows(SHARED, sign[hot] + (np.int64(bucket) << 48), key[hot])
-        wanted = np.flatnonzero((size > 2) & (size <= HOT))
+        hot = np.repeat(size, size) > HOT
+        none = lambda n, kind: pa.nulls(n, kind)
+        names, n = ["kind", "a", "b", "members", "n"], int(hot.sum())
+        # the bucket's number stands before the signature: it and 40 bits name it everywhere
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, SHARED, np.int32)), pa.array(sign[hot] + (np.int64(bucket) << 40)), pa.array(key[hot]),
+                                          none(n, pa.list_(pa.int64())), none(n, pa.int64())], names)
+        wanted = np.flatnonzero((size > 1) & (size <= HOT))
         if len(wanted):
-            lists = np.unique(np.add.reduceat(W.mix(key.view(np.uint64)), begins)[wanted], return_index=True)[1]
-            wanted = wanted[lists]
+            _, at, times = np.unique(np.add.reduceat(W.mix(key.view(np.uint64)), begins)[wanted], return_index=True, return_counts=True)
+            wanted = wanted[at]
             ends = np.concatenate([[0], np.cumsum(size[wanted])])
             at = np.arange(ends[-1]) - np.repeat(ends[:-1], size[wanted]) + np.repeat(begins[wanted], size[wanted])
+            n = len(wanted)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(wanted), GROUP, np.int32)), pa.nulls(len(wanted), pa.int64()), pa.nulls(len(wanted), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(key[at]))], ["kind", "a", "b", "members"])
+                [pa.array(np.full(n, GROUP, np.int32)), none(n, pa.int64()), none(n, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(key[at])), pa.array(times.astype(np.int64))], names)
 
-    def rows(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.nulls(len(a), pa.list_(pa.int64()))],
-                                          ["kind", "a", "b", "members"])
+    return packed.groupBy("bucket").applyInArrow(found, "kind int, a bigint, b bigint, members array<bigint>, n bigint")
 
-    return packed.groupBy("bucket").applyInArrow(found, "kind int, a bigint, b bigint, members array<bigint>")
 
+def elements_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key and packed elements (40 bits of each, sorted by them) of the wanted (doc_id, key).
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of keys whose sets are similar enough; ``sets`` has key and the sorted elements."""
+    Up to BROADCAST_ROWS of them, as counted, are broadcast; more are joined by shuffling.
+    """
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, 1):
+            values, offsets = sets_of(batch, 1)
+            key, _ = set_keys(values, offsets)
+            raw = []
+            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+                x = values[a:b] >> np.uint64(24)
+                raw.append(x.astype("<u4").tobytes() + (x >> np.uint64(32)).astype(np.uint8).tobytes())
+            right = pa.array(key == batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(raw, pa.binary())], ["key", "elements"]).filter(right)
+
+    wanted = keep(wanted)
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    return docs.join(side, "doc_id").select("doc_id", "text", "key").mapInArrow(made, "key bigint, elements binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of keys whose sets are similar enough, compared as whole sets."""
+    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    sets = keep(elements_of(docs, keys.join(classes, "key").select("doc_id", "key")))
+
+    def unpack(x: pa.BinaryScalar) -> np.ndarray:
+        raw = x.as_buffer()
+        n = raw.size // 5
+        return np.frombuffer(raw, "<u4", n).astype(np.uint64) | np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = unpack(x), unpack(y)
                 both = np.sort(np.concatenate([x, y]))
                 common = int((both[1:] == both[:-1]).sum())
                 good.append(DOWN * common >= UP * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    joined = (pairs.join(sets.select(F.col("key").alias("a"), F.col("elements").alias("x")), "a")
-              .join(sets.select(F.col("key").alias("b"), F.col("elements").alias("y")), "b").select("a", "b", "x", "y"))
-    return joined.mapInArrow(check, "a bigint, b bigint")
+    joined = (pairs.join(sets.select(F.col("key").alias("b"), F.col("elements").alias("y")), "b")
+              .join(sets.select(F.col("key").alias("a"), F.col("elements").alias("x")), "a").select("a", "b", "x", "y"))
+    return keep(joined.mapInArrow(check, "a bigint, b bigint").distinct())
 
 
 def with_components(groups: DataFrame, known: DataFrame) -> DataFrame:
     return (groups.join(known.select(F.col("node").alias("key"), "component"), "key", "left")
-            .select("gid", "key", F.coalesce("component", "key").alias("component")))
+            .select("gid", "key", "n", F.coalesce("component", "key").alias("component")))
 
 
 def linked_classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
-    """node and component for every set key that is linked with another; component is the least key."""
-    packed = dealt(docs, max(12, -(-prints.count() // BUCKET_DOCS)))
-    found = keep(shared(packed))
-    classes = prints.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("slack").alias("slack"))
+    """node and component for every set key that is linked with another; component is the least key.
+
+    First the pairs of a group's least key and another that share LIKELY signatures are verified: most copies are in
+    one component then. What is left are groups with sets of several components. There all pairs are counted, and those
+    that share as many signatures as a similar pair must are verified too, so that no link is missed.
+    """
+    found = keep(shared(dealt(docs, max(12, -(-prints.count() // BUCKET_DOCS)))))
+    classes = prints.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min_by("n_shingles", "key2").alias("size"),
+                                                               F.min_by("slack", "key2").alias("slack"))
+    kinds = F.expr("transform(sequence(0, size(slack) - 2, 2), i -> struct(slack[i] as sort, slack[i + 1] as beyond))")
+    beyond = classes.select("key", F.explode(kinds).alias("x")).select("key", "x.*")
     # a hot signature matters to a set only if the set's others are too few to prove a link
     hot = found.where(F.col("kind") == SHARED).select(F.col("a").alias("gid"), F.col("b").alias("key"), F.col("a").bitwiseAND(63).cast("int").alias("sort"))
-    beyond = classes.select("key", F.explode(F.expr("transform(sequence(0, size(slack) - 2, 2), i -> struct(slack[i] as sort, slack[i + 1] as beyond))")).alias("x")).select("key", "x.*")
-    lacking = hot.groupBy("key", "sort").agg(F.count("*").alias("n")).join(beyond, ["key", "sort"]).where("n >= beyond").select("key", "sort")
-    hot = keep(hot.join(lacking, ["key", "sort"]).select("gid", "key"))
+    counted = beyond.join(hot.groupBy("key", "sort").agg(F.count("*").alias("n")), ["key", "sort"]).withColumn("lacks", F.col("n") >= F.col("beyond"))
+    counted = keep(counted)
+    hot = keep(hot.join(counted.where("lacks").select("key", "sort"), ["key", "sort"]).select("gid", "key"))
+    listed = keep(found.where(F.col("kind") == GROUP).groupBy("members").agg(F.sum("n").alias("n"))
+                  .select(F.xxhash64("members").alias("gid"), "members", "n"))
+    # what a similar set must share at least: with hot signatures if both lack others in all their kinds, else without
+    needs = (beyond.join(counted.select("key", "sort", "n", "lacks"), ["key", "sort"], "left").groupBy("key")
+             .agg(F.min("beyond").alias("full"), (F.min("beyond") - F.sum(F.coalesce("n", F.lit(0)))).alias("rest"), F.min(F.coalesce("lacks", F.lit(False))).alias("lacks"))
+             .join(classes.select("key", "size"), "key"))
+
+    def sized(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes allow a link and that share enough signatures (column n; null: not counted)."""
+        for side in "ab":
+            pairs = pairs.join(needs.select(F.col("key").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("size", "full", "rest", "lacks"))), side)
+        enough = F.when(F.col("lacks_a") & F.col("lacks_b"), F.greatest("full_a", "full_b")).otherwise(F.greatest("rest_a", "rest_b"))
+        close = F.least("size_a", "size_b") * DOWN >= F.greatest("size_a", "size_b") * UP
+        return pairs.where(close & (F.col("n").isNull() | (F.col("n") >= enough))).select("a", "b")
+
+    likely = (listed.select(F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, HOT)).alias("b"), "n")
+              .groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= LIKELY).select("a", "b"))
     stars = hot.join(hot.groupBy("gid").agg(F.min("key").alias("a")), "gid").where("a <> key").select("a", F.col("key").alias("b"))
-    pairs = keep(found.where(F.col("kind") == EDGE).select("a", "b").unionByName(stars).distinct())
-    listed = (found.where(F.col("kind") == GROUP).select(F.xxhash64("members").alias("gid"), "members").groupBy("gid")
-              .agg(F.first("members").alias("members")).select("gid", F.explode("members").alias("key")))
-    groups = listed.unionByName(hot)
-
-    # the sets of all that is in question, each from one document
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    chosen = wanted.join(classes, "key").select("doc_id", "key")
-
-    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, 1):
-            values, offsets = sets_of(batch, 1)
-            key, _ = set_keys(values, offsets)
-            raw = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            right = pa.array(key == batch.column(2).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(raw, pa.binary())], ["key", "elements"]).filter(right)
-
-    # documents may share an id: only rows with the wanted key count, and one of them
-    sets = keep(docs.join(chosen, "doc_id").select("doc_id", "text", "key").mapInArrow(elements, "key bigint, elements binary").dropDuplicates(["key"]))
-
-    links = keep(verified(pairs, sets))
+    pairs = keep(sized(likely.unionByName(stars).distinct().withColumn("n", F.lit(None).cast("bigint"))))
+    links = verified(pairs, docs, classes)
     known = components(links)
+    groups = keep(listed.select("gid", F.explode("members").alias("key"), "n").unionByName(hot.withColumn("n", F.lit(1).cast("bigint"))))
     for turn in range(PIVOT_ROUNDS + 1):
-        # groups whose sets are not yet all in one component
         rows = with_components(groups, known)
-        open_groups = rows.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
+        open_groups = rows.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         rest = keep(rows.join(open_groups.select("gid"), "gid"))
-        size, parts = (int(x or 0) for x in rest.groupBy("gid", "component").agg(F.count("*").alias("c")).groupBy("gid")
+        size, cross = (int(x or 0) for x in rest.groupBy("gid", "component").agg(F.count("*").alias("c")).groupBy("gid")
                        .agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
                        .agg(F.sum("m"), F.sum(F.col("m") * F.col("m") - F.col("own"))).first())
         if not size:
             break
-        last = turn == PIVOT_ROUNDS or parts // 2 <= 4 * size
-        left = rest.select("gid", F.col("key").alias("a"), F.col("component").alias("ca"))
-        right = rest.select("gid", F.col("key").alias("b"), F.col("component").alias("cb"))
+        last = turn == PIVOT_ROUNDS or cross // 2 <= FEW_PAIRS * size
+        right = rest.select("gid", F.col("key").alias("b"), F.col("component").alias("cb"), "n")
         if last:
-            fresh = left.join(right, "gid").where("ca < cb")
+            left = rest.select("gid", F.col("key").alias("a"), F.col("component").alias("ca"))
+            fresh = (left.join(right, "gid").where("ca < cb").groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+                     .agg(F.sum("n").alias("n")).select(F.col("x").alias("a"), F.col("y").alias("b"), "n"))
         else:
-            pivot = left.groupBy("gid").agg(F.min_by(F.struct("a", "ca"), F.xxhash64("a", F.lit(turn))).alias("p")).select("gid", "p.*")
-            fresh = right.join(pivot, "gid").where("ca <> cb")
-        fresh = fresh.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = keep(links.unionByName(verified(fresh, sets)))
+            pivot = rest.groupBy("gid").agg(F.min_by(F.struct("key", "component"), F.xxhash64("key", F.lit(turn))).alias("p"))
+            fresh = (right.join(pivot.select("gid", F.col("p.key").alias("a"), F.col("p.component").alias("ca")), "gid").where("ca <> cb")
+                     .groupBy("a", "b").agg(F.lit(None).cast("bigint").alias("n"), F.sum("n").alias("times")).where(F.col("times") >= LIKELY).drop("times"))
+        links = links.unionByName(verified(keep(sized(fresh)), docs, classes))
         known = components(links)
         if last:
             break
