@@ -11,6 +11,7 @@ from .forest import nearest
 from .packing import best_fit_packing
 from .partenum import jaccard_join
 from .pieces import piece_check
+from .pii import personal_data
 from .quality import quality_classifier
 from .topk import exact_top_k
 from .toxicity import toxicity
@@ -75,3 +76,8 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_check(table(spark, folder, "documents"))
+
+
+@query()
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
