@@ -1,4 +1,4 @@
-"""The corpus pipeline: stages over ``documents``, each working on all that the one before kept."""
+"""The corpus pipeline: five stages over ``documents``, each working on all that the one before kept."""
 
 from __future__ import annotations
 
@@ -6,24 +6,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightmart.llm.base import keep, ship
+from freightmart.llm.packing import best_fit_packing
+from freightmart.llm.partenum import BROADCAST_ROWS, jaccard_join
+from freightmart.llm.pii import fit_pii, without_personal_data
 from freightmart.llm.quality import fit_quality, quality_scores
+from freightmart.llm.toxicity import fit_toxicity, toxicity_grades
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Trained models and iterated joins: no stage but the last is SQL.
 ORACLE_SQL = None
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def same_columns(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     ship(spark)
-    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_scores(docs, model, *docs.columns).where("predicted = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    model = fit_quality(docs, labels(spark, sf_dir))
+    return same_columns(quality_scores(docs, model, *docs.columns).where("predicted = 1"), docs)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal regression does not grade as toxic."""
+    ship(spark)
+    model = fit_toxicity(docs, labels(spark, sf_dir))
+    return same_columns(toxicity_grades(docs, model, *docs.columns).where("toxic = 0"), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least doc_id; rows without a doc_id all stay."""
+    ship(spark)
+    gone = keep(jaccard_join(docs).where("doc_id <> component_id").select("doc_id").distinct())
+    few = gone.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with personal data replaced by its kind, n_chars counted again."""
+    ship(spark)
+    return without_personal_data(docs, fit_pii(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token pieces with their places in training sequences."""
+    ship(spark)
+    return best_fit_packing(docs)
 
 
-STAGES = [("quality", quality)]
+STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``; what a stage keeps is checkpointed for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .base import ship
 from .forest import nearest
+from .licenses import license_scan
 from .packing import best_fit_packing
 from .partenum import jaccard_join
 from .pieces import piece_check
@@ -81,3 +83,10 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(table(spark, folder, "documents"))
+
+
+@query()
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as files <source>/<lang>/<doc_id>: their sources are the directories."""
+    files = table(spark, folder, "documents").withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+    return license_scan(files)
