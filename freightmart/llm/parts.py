@@ -20,12 +20,22 @@ class PartEncoder:
     ``odd`` is found, or a token of ``special``, go through the tokenizer whole.
     """
 
-    def __init__(self, tokenizer, odd: str, special: list[str]):
+    def __init__(self, tokenizer, odd: str, special: list[str], unknown: int | None = None, byte_ids: list[int] | None = None):
+        """With ``byte_ids`` the text of an ``unknown`` token becomes the ids of its bytes."""
         self.tokenizer, self.odd, self.special = tokenizer, odd, special
+        self.unknown, self.byte_ids = unknown, byte_ids
         self.known: dict[str, bytes] = {}
 
+    def ids(self, encoding) -> list[int]:
+        ids = encoding.ids
+        if self.byte_ids is None or self.unknown not in ids:
+            return ids
+        return [x for i, token in zip(ids, encoding.tokens, strict=True)
+                for x in ([i] if i != self.unknown else [self.byte_ids[b] for b in token.encode("utf-8")])]
+
     def batch(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        run = self.tokenizer.encode_batch_fast if self.byte_ids is None else self.tokenizer.encode_batch  # only the latter keeps tokens
+        return [np.array(self.ids(e), "<u4").tobytes() for e in run(texts, add_special_tokens=False)]
 
     def learn(self, parts: list[str]) -> None:
         if len(self.known) > CACHE_PARTS:

@@ -86,7 +86,9 @@ class PieceModel:
 
         unknown = self.kinds.index(UNKNOWN)
         if self.algorithm == UNIGRAM:
-            model = models.Unigram(list(zip(self.pieces, self.scores, strict=True)), unknown, self.byte_fallback)
+            # control and byte pieces never match text: their entries get names that no text has
+            names = [p if kind in (NORMAL, USER_DEFINED) else f"\uffff{p}" for p, kind in zip(self.pieces, self.kinds, strict=True)]
+            model = models.Unigram(list(zip(names, self.scores, strict=True)), unknown, False)
         elif self.algorithm == BPE:
             ids = {p: i for i, p in enumerate(self.pieces)}
             merging = {p: i for p, i in ids.items() if self.kinds[i] in (NORMAL, USER_DEFINED)}
@@ -122,7 +124,10 @@ class PieceCodec:
         plain = not crossing and not self.model.charsmap and not self.model.squeeze
         users = [p.replace(MARK, " ") for p, k in zip(self.model.pieces, self.model.kinds, strict=True) if k == USER_DEFINED]
         # texts can be cut before single spaces if no piece reaches over one and normalising is only marking
-        self.parts = PartEncoder(self.model.tokenizer(), "  " if plain else "(?s).", users)
+        in_bytes = None
+        if self.model.algorithm == UNIGRAM and self.model.byte_fallback:
+            in_bytes = [self.model.pieces.index(f"<0x{b:02X}>") for b in range(256)]
+        self.parts = PartEncoder(self.model.tokenizer(), "  " if plain else "(?s).", users, self.model.kinds.index(UNKNOWN), in_bytes)
         surfaces = self.model.surfaces()
         self.size = np.array([len(s) for s in surfaces], np.int64)
         self.first = np.cumsum(self.size) - self.size

@@ -90,7 +90,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
     rows = (pick(docs, id="doc_id bigint", text="text string").join(F.broadcast(sample), "id").select("id", "text", "label")
             .mapInArrow(figures, "label double, x binary").toPandas())
-    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), -1)
+    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), -1) if len(rows) else np.zeros((0, 1), np.float32)
     order = np.lexsort([*x.T, rows["label"]]) if len(rows) else []
     return fit(x[order], rows["label"].to_numpy(float)[order])
 
