@@ -27,60 +27,20 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, names: dict[st
     return df.join(side, df[key] == side["__dim_key"], "left").drop("__dim_key")
 
 
-HOT_ROWS = 5_000_000
-MAX_SALTS = 1024
-
-
-def link_full_join(
-    one: DataFrame, many: DataFrame, pairs: Sequence[tuple[str, str]], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def link_full_join(one: DataFrame, many: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Full outer join of a document side with the side that points to it.
 
-    ``pairs`` are (column of ``one``, column of ``many``). Adaptive execution
-    cannot split a full outer join, so hot keys are salted here: a key with
-    more than ``hot_rows`` rows on the pointing side is spread over as many
-    salts as it needs, and its rows of ``one`` are offered to every salt. The
-    copies that found nothing are dropped again, because the key is known to
-    be met. Rows with a NULL key never match; they get a salt of their own
-    and do not pile up in one partition. Both inputs are read once, ``many``
-    once more for its key counts.
+    ``pairs`` are (column of ``one``, column of ``many``). Adaptive execution cannot split a full outer join. Here the
+    pointing side is the preserved side of a left join, which it can split when a key is hot, and the documents that
+    nothing points to are added by an anti join against the distinct keys. Rows with a NULL key never match: those of
+    ``many`` keep no document, those of ``one`` are among the added.
     """
-    ones, links = [a for a, _ in pairs], [b for _, b in pairs]
-
-    def lone(keys: list[str]) -> Column:
-        return reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
-
-    # Asking for every column gives this branch the same shuffles as the join
-    # itself, so Spark computes them once. At most rows / hot_rows keys can be
-    # hot, a few thousand per ten billion rows.
-    hot = (
-        many.groupBy(*[F.col(b).alias(f"__h{i}") for i, b in enumerate(links)])
-        .agg(F.count(F.lit(1)).alias("__n"), F.max(F.xxhash64(*many.columns)).alias("__all"))
-        .where((F.col("__n") > hot_rows) & F.col("__all").isNotNull())
-        .select(*[f"__h{i}" for i in range(len(links))],
-                F.least(F.ceil(F.col("__n") / hot_rows), F.lit(MAX_SALTS)).cast("int").alias("__salts"))
-    )
-
-    def with_salts(df: DataFrame, keys: list[str]) -> DataFrame:
-        known = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
-        salted = df.join(F.broadcast(hot), known, "left").drop(*[f"__h{i}" for i in range(len(keys))])
-        return salted.withColumn("__salts", F.when(~lone(keys), F.col("__salts")))
-
-    def spread(df: DataFrame, salts: Column) -> Column:
-        return F.pmod(F.xxhash64(*df.columns), salts).cast("int")
-
-    right = with_salts(many, links).withColumn(
-        "__salt", F.when(lone(links), spread(many, F.lit(MAX_SALTS)))
-        .when(F.col("__salts").isNotNull(), spread(many, F.col("__salts"))).otherwise(F.lit(0))
-    ).drop("__salts").withColumn("__met", F.lit(True))
-    left = with_salts(one, ones).withColumn(
-        "__salt", F.explode(
-            F.when(lone(ones), F.array(spread(one, F.lit(MAX_SALTS))))
-            .when(F.col("__salts").isNotNull(), F.sequence(F.lit(0), F.col("__salts") - 1)).otherwise(F.array(F.lit(0))))
-    )
-    joined = left.join(right, equal(left, right, [*pairs, ("__salt", "__salt")]), "full")
-    idle_copy = F.col("__met").isNull() & F.col("__salts").isNotNull()
-    return joined.where(~idle_copy).select(*one.columns, *many.columns)
+    back = [(b, a) for a, b in pairs]
+    linked = many.join(one, equal(many, one, back), "left").select(*one.columns, *many.columns)
+    met = many.select(*[F.col(b).alias(f"__m{i}") for i, (_, b) in enumerate(pairs)]).dropna().distinct()
+    alone = one.join(met, equal(one, met, [(a, f"__m{i}") for i, (a, _) in enumerate(pairs)]), "left_anti")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in many.schema.fields]
+    return linked.unionByName(alone.select(*one.columns, *nothing))
 
 
 def within_seconds(

@@ -18,11 +18,13 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def attach_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column], nullable: bool = True) -> DataFrame:
-    """Add the aggregates ``totals`` of each key group to every row of the group."""
+def attach_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
+    """Add the aggregates ``totals`` of each key group to every row of the group; NULL keys are a group.
+
+    The join compares null-safely, which Spark deals out by other expressions than the aggregate: both of its sides are
+    plain shuffles, and only those can be split when a key is hot.
+    """
     grouped = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in totals.items()])
-    if not nullable:
-        return df.join(grouped, list(keys), "left")
     renamed = grouped.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *totals)
     pairs = [(k, f"__k_{k}") for k in keys]
     return df.join(renamed, null_safe(df, renamed, pairs), "left").drop(*[b for _, b in pairs])

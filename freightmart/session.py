@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join also where a later step then needs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
