@@ -32,12 +32,10 @@ HOT = 64
 FLUSH, BUCKET_DOCS = 1_500_000, 8192
 #: Shared signatures of pairs that are verified first.
 LIKELY = 3
-#: Pairs for each row of the open groups up to which all of them are counted.
-FEW_PAIRS = 40
+#: Squared sizes of open groups for each of their rows from which a round of pivots comes before all pairs are counted.
+MANY_PAIRS = 40
 #: So many counted rows at most are broadcast.
 BROADCAST_ROWS = 1_000_000
-#: Rounds of one pivot a group before all pairs between unlinked parts of the remaining groups are verified.
-PIVOT_ROUNDS = 6
 
 _BANDS = np.array([BAND**i for i in range(33)], np.int64)
 
@@ -265,8 +263,8 @@ def linked_classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
     that share as many signatures as a similar pair must are verified too, so that no link is missed.
     """
     found = keep(shared(dealt(docs, max(12, -(-prints.count() // BUCKET_DOCS)))))
-    classes = prints.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min_by("n_shingles", "key2").alias("size"),
-                                                               F.min_by("slack", "key2").alias("slack"))
+    classes = keep(prints.where("n_shingles > 0").groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.min_by("n_shingles", "key2").alias("size"), F.min_by("slack", "key2").alias("slack")))
     kinds = F.expr("transform(sequence(0, size(slack) - 2, 2), i -> struct(slack[i] as sort, slack[i + 1] as beyond))")
     beyond = classes.select("key", F.explode(kinds).alias("x")).select("key", "x.*")
     # a hot signature matters to a set only if the set's others are too few to prove a link
@@ -277,7 +275,7 @@ def linked_classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
     listed = keep(found.where(F.col("kind") == GROUP).groupBy("members").agg(F.sum("n").alias("n"))
                   .select(F.xxhash64("members").alias("gid"), "members", "n"))
     # what a similar set must share at least: with hot signatures if both lack others in all their kinds, else without
-    needs = (beyond.join(counted.select("key", "sort", "n", "lacks"), ["key", "sort"], "left").groupBy("key")
+    needs = keep(beyond.join(counted.select("key", "sort", "n", "lacks"), ["key", "sort"], "left").groupBy("key")
              .agg(F.min("beyond").alias("full"), (F.min("beyond") - F.sum(F.coalesce("n", F.lit(0)))).alias("rest"), F.min(F.coalesce("lacks", F.lit(False))).alias("lacks"))
              .join(classes.select("key", "size"), "key"))
 
@@ -296,29 +294,31 @@ def linked_classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
     links = verified(pairs, docs, classes)
     known = components(links)
     groups = keep(listed.select("gid", F.explode("members").alias("key"), "n").unionByName(hot.withColumn("n", F.lit(1).cast("bigint"))))
-    for turn in range(PIVOT_ROUNDS + 1):
-        rows = with_components(groups, known)
-        open_groups = rows.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        rest = keep(rows.join(open_groups.select("gid"), "gid"))
-        size, cross = (int(x or 0) for x in rest.groupBy("gid", "component").agg(F.count("*").alias("c")).groupBy("gid")
-                       .agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
-                       .agg(F.sum("m"), F.sum(F.col("m") * F.col("m") - F.col("own"))).first())
-        if not size:
-            break
-        last = turn == PIVOT_ROUNDS or cross // 2 <= FEW_PAIRS * size
+    for last in (False, True):
+        # groups whose sets are not yet all in one component
+        rows = keep(with_components(groups, known))
+        open_groups = rows.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
+        if not last:
+            size, squares = (int(x or 0) for x in open_groups.agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first())
+            if not size:
+                break
+            if squares <= MANY_PAIRS * size:
+                continue
+        rest = rows.join(open_groups.select("gid", "m"), "gid")
         right = rest.select("gid", F.col("key").alias("b"), F.col("component").alias("cb"), "n")
         if last:
             left = rest.select("gid", F.col("key").alias("a"), F.col("component").alias("ca"))
             fresh = (left.join(right, "gid").where("ca < cb").groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
                      .agg(F.sum("n").alias("n")).select(F.col("x").alias("a"), F.col("y").alias("b"), "n"))
         else:
-            pivot = rest.groupBy("gid").agg(F.min_by(F.struct("key", "component"), F.xxhash64("key", F.lit(turn))).alias("p"))
+            pivot = rest.groupBy("gid").agg(F.min_by(F.struct("key", "component"), F.xxhash64("key")).alias("p"))
             fresh = (right.join(pivot.select("gid", F.col("p.key").alias("a"), F.col("p.component").alias("ca")), "gid").where("ca <> cb")
                      .groupBy("a", "b").agg(F.lit(None).cast("bigint").alias("n"), F.sum("n").alias("times")).where(F.col("times") >= LIKELY).drop("times"))
-        links = links.unionByName(verified(keep(sized(fresh)), docs, classes))
+        fresh = keep(sized(fresh))
+        if fresh.isEmpty():
+            continue
+        links = links.unionByName(verified(fresh, docs, classes))
         known = components(links)
-        if last:
-            break
     return known
 
 
