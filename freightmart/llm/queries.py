@@ -55,7 +55,14 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing(table(spark, folder, "documents"))
 
 
-@query()
+@query("""
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+""")
 def op7_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings"))
 
@@ -70,9 +77,22 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(table(spark, folder, "pages"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                                 ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS c FROM sh GROUP BY 1),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.c + y.c - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS m FROM documents UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.doc_id AND r.m < e.b)
+SELECT r.doc_id, coalesce(any_value(c), 0)::BIGINT AS n_shingles, min(m) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY 1
+""")
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join(table(spark, folder, "documents"))
+    return jaccard_join(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query()
