@@ -125,7 +125,7 @@ def group_totals(t):
         "q": F.sum("l_quantity"), "lines": F.count(F.lit(1)),
         "returned": F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)),
         "last_shipped": F.max(F.col("l_shipdate").cast("date")),
-    })
+    }, nullable=False)
     rows = attach_totals(rows, ["flag"], {"flag_total": F.sum(money("l_extendedprice"))})
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_quantity") / F.col("q"), 6).alias("share"),
