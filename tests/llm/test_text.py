@@ -61,6 +61,30 @@ def test_license_scan(llm):
     }
 
 
+def scanned(llm, *files):
+    rows = license_scan(llm.createDataFrame([(i, *f) for i, f in enumerate(files)], "doc_id bigint, path string, text string")).collect()
+    return [(r["license"], r["origin"], r["directory"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def test_licenses_keep_their_versions_and_reserved_rights(llm):
+    work = "This work is licensed under the GNU General Public License"
+    code = "\n" + "code " * 60
+    stated = {
+        f"{work}, version 1.": "GPL-1.0", f"{work}, version 2.": "GPL-2.0", f"{work}, version 3.": "GPL-3.0", f"{work}.": "GPL", f"{work}, version 9.": None,
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1", "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under the Apache License, Version 1.1.": "Apache-1.1", "Licensed under CC BY 3.0.": "CC-BY-3.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "Licensed under the BSD 2-Clause License.": "BSD-2-Clause", "Licensed under the ISC License.": "ISC", "SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
+        "All rights reserved.": "All-Rights-Reserved", "Copyright (c) 2020 Some Body, all rights reserved.": "All-Rights-Reserved",
+        "All rights reserved.\nReleased under the MIT License.": "MIT", "Mit.": None,
+    }
+    assert [x[0] for x in scanned(llm, *((f"d{i}/f", text + code) for i, text in enumerate(stated)))] == list(stated.values())
+    assert scanned(llm, ("a/LICENSE", "Released under the MIT License."), ("a/x", "All rights reserved." + code), ("a/b/NOTICE", "All rights reserved."),
+                   ("a/b/y", "code"), ("a/z", "Some rights are reserved")) == [
+        ("MIT", "own", None), ("All-Rights-Reserved", "own", None), ("All-Rights-Reserved", "own", None), ("All-Rights-Reserved", "inherited", "a/b"),
+        ("MIT", "inherited", "a")]
+
+
 def test_url_filter(llm):
     urls = [
         "http://Shop.NET/x", "https://www.example.net/en/1?x#y", "http://example.com/de/9", "http://a.example.com/fr/", "http://b.org/fr/2", "http://net",
