@@ -1,13 +1,15 @@
-"""License scan: sparse TF-IDF cosine of lines and whole files to templates, then inheritance from the nearest directory.
+"""License scan: sparse TF-IDF cosine of lines, runs of lines and whole files to templates, then inheritance from the nearest directory.
 
-Every line and the whole of every text is compared with every template. A file that a license statement makes up is a
-license file of its directory; a file without a license of its own has that of its nearest ancestor directory with one.
+Every line, run of neighbouring lines, paragraph and the whole of every text is compared with every statement, the whole
+also with whole license texts. A file that a license makes up is a license file of its directory; a file without a license of its own has that of its nearest ancestor directory with one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import cache
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,11 @@ _SAID: Mapping[str, tuple[str, ...]] = {
     "Apache": ("Licensed under the Apache License.",),
     "Apache-1.1": ("Licensed under the Apache License, Version 1.1.", "The Apache Software License, Version 1.1"),
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0, January 2004",
-                   "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
+                   "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+                   "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+                   "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+                   "either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     "BSD": ("Licensed under the BSD License.", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
             "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     "0BSD": ("Licensed under the BSD Zero Clause License.", "Zero-Clause BSD",
@@ -90,7 +96,10 @@ def _templates() -> dict[str, tuple[str, ...]]:
                 f"{full} Version {version}{_GNU_DATES[f'{short} {version}']}"]
             if short != "GFDL":
                 published = f"{free} as published by the Free Software Foundation"
-                made += [f"{published}, either version {version} of the License, or (at your option) any later version.", f"{published}, version {version}.",
+                made += [f"{published}, either version {version} of the License, or (at your option) any later version. {free[:12]} is distributed in the hope "
+                         "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+                         f"PURPOSE. See the {full} for more details. You should have received a copy of the {full} along with {free[:12].lower()}. If not, see "
+                         "<https://www.gnu.org/licenses/>.", f"{published}, either version {version} of the License, or (at your option) any later version.", f"{published}, version {version}.",
                          f"{published}; version {version} of the License."]
     out["LGPL-2.0"] = ["This work is licensed under the GNU Library General Public License, version 2.", "GNU Library General Public License Version 2, June 1991",
                        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as "
@@ -117,6 +126,16 @@ DECISIVE = ("lesser", "affero", "noncommercial", "nc", "sharealike", "sa", "node
 DIGITS = tuple("0123456789")
 #: Cosine from which a line or file states a license, and share of a file's words that such lines make up in a license file.
 STATES, LICENSE_FILE = 0.8, 0.5
+#: Lines of a run at most (paragraphs have no bound), and the part that known words must make up of the length of the
+#: vector of each of its lines: below it a run would hardly come to STATES.
+RUN, NEAR = 12, 0.5
+
+
+@cache
+def license_texts() -> dict[str, tuple[str, ...]]:
+    """Whole license texts by name; read by the driver, the tasks get their vectors."""
+    folder = resources.files(__package__).joinpath("license_texts")
+    return {f.name.removesuffix(".txt"): (f.read_text(encoding="utf-8"),) for f in sorted(folder.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
 
 
 def terms(texts: W.Texts) -> tuple[W.Words, np.ndarray]:
@@ -144,7 +163,8 @@ class Templates:
     has: np.ndarray  # which of them each template has: (special, templates)
 
     @staticmethod
-    def of(templates: Mapping[str, tuple[str, ...]]) -> Templates:
+    def of(templates: Mapping[str, tuple[str, ...]], whole: bool = False) -> Templates:
+        """``whole``: of license texts, which are told apart by their cosine alone."""
         names = [name for name, texts in templates.items() for _ in texts]
         texts = W.Texts.of(pa.array([t for group in templates.values() for t in group]))
         found, hashed = terms(texts)
@@ -155,11 +175,13 @@ class Templates:
         weight = counts * idf[:, None]
         special = np.concatenate([_hashed(w) for w in (*DECISIVE, *DIGITS)])
         has = np.stack([np.isin(special, hashed[found.row == i]) for i in range(texts.rows)], axis=1)
+        if whole:
+            special, has = special[:0], has[:0]
         rank = np.array([2 if n == RESERVED else int(n in FAMILIES) for n in names])
         return Templates(names, term, idf, weight / np.linalg.norm(weight, axis=0), float(np.log(1 + texts.rows) + 1), rank, special, has)
 
-    def cosines(self, unit: np.ndarray, hashed: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray]:
-        """Best cosine and its template for each unit of text; words of no template weigh as much as the rarest can.
+    def cosines(self, unit: np.ndarray, hashed: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best cosine, its template, and the share of known words in the vector's length, for each unit of text; words of no template weigh as much as the rarest can.
 
         Only units with a template's word can be like one, the others are not summed up. Templates with other decisive
         words or another version than the unit are left out; what a unit states is its best template of the first rank.
@@ -199,13 +221,43 @@ class Templates:
             cosine[(lacks > 0) | (2 * shared <= (self.weight > 0).sum(axis=0))] = 0
             at = (cosine + np.where(cosine >= STATES, 2 * (3 - self.rank), 0)).argmax(axis=1)
             best[ids], which[ids] = cosine[np.arange(len(ids)), at], at
-        return best, which
+        return best, which, inside / np.where(norm > 0, norm, 1)
+
+
+def runs(lines: W.Words, words: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First lines and lines behind the last of all runs of 2 to RUN near lines, and of the paragraphs that hold one.
+
+    Lines without words are in a run, but not counted, and end a paragraph; so do empty ones.
+    """
+    full = np.flatnonzero(words > 0)
+    if not len(full):
+        return full, full
+    row = lines.row[full]
+    breaks = np.ones(len(full), bool)
+    breaks[1:] = (row[1:] != row[:-1]) | ~near[full[1:]] | ~near[full[:-1]]
+    run = np.cumsum(breaks)
+    begin, end = [], []
+    for n in range(2, RUN + 1):
+        at = np.flatnonzero(run[n - 1:] == run[:len(run) - n + 1]) if len(run) >= n else full[:0]
+        if not len(at):
+            break
+        begin.append(full[at])
+        end.append(full[at + n - 1] + 1)
+    breaks[1:] = (row[1:] != row[:-1]) | (full[1:] != full[:-1] + 1) | (lines.start[full[1:]] - lines.end[full[:-1]] > 1)
+    first = np.flatnonzero(breaks)
+    holds = (np.add.reduceat(near[full].astype(np.int64), first) > 0) & (np.diff(np.append(first, len(full))) > 1)
+    begin.append(full[first[holds]])
+    end.append(full[np.append(first, len(full))[1:][holds] - 1] + 1)
+    return np.concatenate(begin), np.concatenate(end)
 
 
-def stated(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
-    """The files' other columns with license (or null), cosine, and covered: the share of words in lines that state one."""
+def stated(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, texts_of: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """The files' other columns with license (or null), cosine, and covered: the share of words in lines that state one,
+    1 if the whole text is like a statement or a license text."""
     names = [c for c in files.columns if c != "text"]
     known = Templates.of({**templates, RESERVED: TEMPLATES[RESERVED]})
+    full = Templates.of(license_texts() if texts_of is None else texts_of, whole=True)
+    all_names, all_ranks = [*known.names, *full.names], np.concatenate([known.rank, np.full(len(full.names), -1)])
     reserved, phrase = known.names.index(RESERVED), _hashed(TEMPLATES[RESERVED][0])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,24 +266,33 @@ def stated(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATE
             found, hashed = terms(texts)
             lines = W.words(texts, texts.data != 0x0A)
             line = np.searchsorted(lines.start, found.start, "right") - 1
-            score, which = known.cosines(line, hashed, len(lines.start))
-            whole, whole_which = known.cosines(found.row, hashed, texts.rows)
+            n = len(lines.start)
+            score, which, share = known.cosines(line, hashed, n)
+            upto = np.searchsorted(line, np.arange(n + 1))
+            begin, end = runs(lines, np.diff(upto), share >= NEAR)
+            size = upto[end] - upto[begin]
+            at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(upto[begin], size)
+            run_score, run_which, _ = known.cosines(np.repeat(np.arange(len(begin)), size), hashed[at], len(begin))
+            whole, whole_which, _ = known.cosines(found.row, hashed, texts.rows)
+            text, text_which, _ = full.cosines(found.row, hashed, texts.rows)
             words = np.bincount(found.row, minlength=texts.rows)
-            inside = (score >= STATES)[line]
+            says = run_score >= STATES
+            within = np.cumsum(np.bincount(begin[says], minlength=n + 1) - np.bincount(end[says], minlength=n + 1))[:n] > 0
+            inside = (within | (score >= STATES))[line]
             # "all rights reserved" states its template wherever it stands in a sentence
             first = np.flatnonzero(np.all([hashed[i:len(hashed) - 2 + i] == h for i, h in enumerate(phrase)], axis=0)) if len(hashed) > 2 else np.zeros(0, np.int64)
             first = first[found.row[first] == found.row[first + 2]]
             inside[np.concatenate([first, first + 1, first + 2])] = True
             covered = np.bincount(found.row, inside, texts.rows) / np.maximum(words, 1)
-            covered = np.where(whole >= STATES, 1.0, covered)
-            row = np.concatenate([lines.row, np.arange(texts.rows), found.row[first]])
-            score = np.concatenate([score, whole, np.ones(len(first))])
-            which = np.concatenate([which, whole_which, np.full(len(first), reserved, np.int64)])
-            # what states a license first, by rank; every row has the unit of its whole text
-            order = np.lexsort((which, -score, np.where(score >= STATES, known.rank[which], 3), row))
+            covered = np.where(np.maximum(whole, text) >= STATES, 1.0, covered)
+            row = np.concatenate([lines.row, lines.row[begin], np.arange(texts.rows), np.arange(texts.rows), found.row[first]])
+            score = np.concatenate([score, run_score, whole, text, np.ones(len(first))])
+            which = np.concatenate([which, run_which, whole_which, text_which + len(known.names), np.full(len(first), reserved, np.int64)])
+            # what states a license first, by rank, a whole license text before all; every row has the unit of its whole text
+            order = np.lexsort((which, -score, np.where(score >= STATES, all_ranks[which], 3), row))
             top = order[np.searchsorted(row[order], np.arange(texts.rows))]
             best = score[top]
-            names_of = [known.names[i] if b >= STATES else None for i, b in zip(which[top].tolist(), best.tolist(), strict=True)]
+            names_of = [all_names[i] if b >= STATES else None for i, b in zip(which[top].tolist(), best.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names_of, pa.string()), pa.array(best), pa.array(covered)],
                                              [*names, "license", "cosine", "covered"])
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from freightmart.llm.licenses import license_scan
+from freightmart.llm.licenses import license_scan, license_texts
 from freightmart.llm.pieces import PieceCodec, model_file
 from freightmart.llm.urls import url_filter
 
@@ -85,6 +85,31 @@ def test_licenses_keep_their_versions_and_reserved_rights(llm):
         ("MIT", "inherited", "a")]
 
 
+def test_wrapped_headers_and_whole_license_texts(llm):
+    code = "\n" + "x = compute(y, z)\n" * 60
+    bsd = ("# Redistribution and use in source and binary forms, with or without\n"
+           "# modification, are permitted provided that the following conditions are met:\n")
+    free = ("/* This program is free software; you can redistribute it and/or\n * modify it under the terms of the GNU General Public License\n"
+            " * as published by the Free Software Foundation; either version 2\n * of the License, or (at your option) any later version.\n */")
+    apache = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\n"
+              "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law")
+    gpl_notice = free[3:-3] + ("\n *\n * This program is distributed in the hope that it will be useful,\n * but WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+                               " * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n * GNU General Public License for more details.\n *\n"
+                               " * You should have received a copy of the GNU General Public License\n * along with this program; if not, see <http://www.gnu.org/licenses/>.")
+    apache_notice = apache + (" or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY "
+                              "KIND, either express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License.\n")
+    assert scanned(llm, ("a/LICENSE", apache_notice), ("a/b", code), ("g/LICENSE", gpl_notice), ("g/b", code)) == [
+        ("Apache-2.0", "own", None), ("Apache-2.0", "inherited", "a"), ("GPL-2.0", "own", None), ("GPL-2.0", "inherited", "g")]
+    texts = license_texts()
+    assert {"MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0"} <= texts.keys()
+    heads = [("h0/x.py", bsd + code), ("h1/x.py", "import os\n\n" + bsd + "\n" + code), ("h2/x.c", free + code), ("h3/x.py", apache + code)]
+    files = [(f"{name}/LICENSE", f"Copyright (c) 2021 Some Body. All rights reserved.\n\n{text}") for name, (text,) in texts.items()]
+    below = [(f"{name}/src/a.py", code) for name in texts]
+    assert scanned(llm, *heads, *files, *below) == [
+        ("BSD", "own", None), ("BSD", "own", None), ("GPL-2.0", "own", None), ("Apache-2.0", "own", None),
+        *((name, "own", None) for name in texts), *((name, "inherited", name) for name in texts)]
+
+
 def test_url_filter(llm):
     urls = [
         "http://Shop.NET/x", "https://www.example.net/en/1?x#y", "http://example.com/de/9", "http://a.example.com/fr/", "http://b.org/fr/2", "http://net",
