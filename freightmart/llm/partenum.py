@@ -208,23 +208,39 @@ def shared(packed: DataFrame) -> DataFrame:
 def elements_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """key and packed elements (40 bits of each, sorted by them) of the wanted (doc_id, key).
 
-    Up to BROADCAST_ROWS of them, as counted, are broadcast; more are joined by shuffling.
+    Up to BROADCAST_ROWS of them, as counted, are broadcast; more are joined by shuffling. Classes whose rows all lack a
+    doc_id are found by the key, among the rows without one.
     """
 
+    def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        raw = []
+        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+            x = values[a:b] >> np.uint64(24)
+            raw.append(x.astype("<u4").tobytes() + (x >> np.uint64(32)).astype(np.uint8).tobytes())
+        return pa.array(raw, pa.binary())
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, 1):
             values, offsets = sets_of(batch, 1)
             key, _ = set_keys(values, offsets)
-            raw = []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                x = values[a:b] >> np.uint64(24)
-                raw.append(x.astype("<u4").tobytes() + (x >> np.uint64(32)).astype(np.uint8).tobytes())
             right = pa.array(key == batch.column(2).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(raw, pa.binary())], ["key", "elements"]).filter(right)
+            yield pa.RecordBatch.from_arrays([pa.array(key), packed(values, offsets)], ["key", "elements"]).filter(right)
+
+    def nameless(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, 1):
+            values, offsets = sets_of(batch, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(set_keys(values, offsets)[0]), packed(values, offsets)], ["key", "elements"])
 
     wanted = keep(wanted)
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    return docs.join(side, "doc_id").select("doc_id", "text", "key").mapInArrow(made, "key bigint, elements binary")
+    total, named = wanted.agg(F.count("*"), F.count("doc_id")).first()
+    side = F.broadcast(wanted) if total <= BROADCAST_ROWS else wanted
+    found = docs.join(side, "doc_id").select("doc_id", "text", "key").mapInArrow(made, "key bigint, elements binary")
+    if named == total:
+        return found
+    lost = side.where("doc_id is null").select("key")
+    rows = docs.where("doc_id is null").select("doc_id", "text").mapInArrow(nameless, "key bigint, elements binary")
+    # copies are aggregated: one row for each key
+    return found.unionByName(rows.join(F.broadcast(lost) if total <= BROADCAST_ROWS else lost, "key").groupBy("key").agg(F.first("elements").alias("elements")))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:

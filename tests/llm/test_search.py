@@ -111,6 +111,16 @@ def test_jaccard_join(llm, hot, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute(docs)
 
 
+def test_rows_without_doc_id_link_others(llm):
+    """A null-id near copy belongs to its group, and joins two documents that are linked only through it."""
+    words = prose(random.Random(11), 60).split()
+    text = [" ".join(words[i:i + 40]) for i in (0, 4, 8, 20)]
+    docs = [(5, text[0]), (None, text[1]), (None, text[1].upper()), (9, text[2]), (None, text[3] + " last"), (None, text[3]), (None, None)]
+    rows = jaccard_join(llm.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in rows) == [
+        ("5", 36, "5"), ("9", 36, "5"), ("None", 0, "None"), ("None", 36, "5"), ("None", 36, "5"), ("None", 36, "None"), ("None", 37, "None")]
+
+
 def test_cut_and_pack():
     assert cut(5, 8) == [(0, 5)] and cut(16, 8) == [(0, 8), (8, 8)] and cut(19, 8) == [(0, 3), (3, 8), (11, 8)]
     rng = random.Random(8)
