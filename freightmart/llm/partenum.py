@@ -338,6 +338,19 @@ def linked_classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
     return known
 
 
+def with_class(docs: DataFrame, name: str) -> DataFrame:
+    """All rows and columns with the class_id that jaccard_join gives to their text, as column ``name``."""
+    columns = docs.columns
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, len(columns)):
+            values, offsets = sets_of(batch, len(columns))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(set_keys(values, offsets)[0], mask=np.diff(offsets) == 0)], [*columns, name])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.select(*(F.col(f"`{c}`") for c in columns), F.col("text").cast("string").alias("__text")).mapInArrow(made, f"{fields}, `{name}` bigint")
+
+
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """Links of all documents: doc_id, n_shingles, component_id (the least doc_id reachable, its own included), class_id.
 
@@ -345,13 +358,18 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     texts without words have no shingles and are linked with nothing. Rows that share a doc_id are rows of their own;
     a null doc_id takes part, but names no component. An empty table gives no rows, other columns are not looked at.
     """
+    return linked_rows(docs).drop("group_id")
+
+
+def linked_rows(docs: DataFrame) -> DataFrame:
+    """The rows of jaccard_join with group_id: components may have the same least doc_id where doc_ids repeat, groups are apart."""
     rows = pick(docs, doc_id="doc_id bigint", text="text string")
     prints = keep(fingerprints(rows))
     known = linked_classes(rows, prints)
     classes = (prints.where("n_shingles > 0").groupBy("key", "key2").agg(F.min("doc_id").alias("least"))
                .join(known.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "component").select("key", "key2", "component_id")
+    named = classes.join(least, "component").select("key", "key2", "component_id", F.col("component").alias("group_id"))
     return prints.join(named, ["key", "key2"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n_shingles") > 0, F.col("key")).alias("class_id"))
+        F.when(F.col("n_shingles") > 0, F.col("key")).alias("class_id"), "group_id")

@@ -9,9 +9,20 @@ from freightmart.llm.partenum import jaccard_join
 from freightmart.llm.pii import base_spans
 
 FOLDER = "/root/testdata/sf0.001"
-pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 
 
+def test_near_duplicates_decides_rows(llm):
+    """Repeated doc_ids: an unlinked row stays, of repeated winners one stays, and groups of one least doc_id are apart."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    docs = [(1, a, "x"), (2, a.upper(), "x"), (2, b, "x"), (3, c, "x"), (3, c, "x"), (3, c + " more", "x"), (3, d, "x"), (4, d, "x"), (5, "", "x"), (5, None, "x"), (None, a, "x"), (6, "six", "x")]
+    kept = corpus_pipeline.near_duplicates(llm, llm.createDataFrame(docs, "doc_id bigint, text string, source string"), FOLDER).collect()
+    left = sorted(str((r["doc_id"], r["text"])) for r in kept if r["doc_id"] != 3)
+    assert left == sorted(str(x) for x in [(1, a), (2, b), (5, ""), (5, None), (None, a), (6, "six")])
+    three = [r["text"] for r in kept if r["doc_id"] == 3]
+    assert len(three) == 2 and d in three and three[0][:2] != three[1][:2]
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 def test_stages(llm):
     docs = llm.read.parquet(f"{FOLDER}/documents.parquet")
     before = {r["doc_id"]: r for r in docs.collect()}
