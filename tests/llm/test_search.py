@@ -58,6 +58,20 @@ def test_nearest_of_a_small_table_is_exact(llm, points, block, monkeypatch):
     assert nearest(table(llm, BAD)).collect() == [] == nearest(table(llm, [])).collect()
 
 
+@pytest.mark.parametrize("least", [1280, 0])
+def test_nearest_counts_repeated_rows(llm, least, monkeypatch):
+    """True repeated rows are candidates of their own; with no least number of rows the leaf selection runs on few rows."""
+    monkeypatch.setattr(forest, "LEAST_ROWS", least)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 4)).round(3)
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    near = [float(v) for v in x[50] * 1.001]
+    rows += [(700, near)] * 3 + [(50, rows[50][1])] * 400
+    got = [tuple(r) for r in nearest(table(llm, rows)).orderBy("query_id", "rank").collect()]
+    assert [r[:2] for r in got] == [(q, n) for q in (*range(0, 300, 50), 700) for n in range(1, 6)]
+    assert [r[2] for r in got if r[0] == 50][:3] == [700] * 3 and [r[2] for r in got if r[0] == 700] == [50] * 5
+
+
 def test_forest_recall(llm):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(6000, 32))
