@@ -3,7 +3,8 @@
 Sets of word shingles with sizes in one band differ in at most k elements if they are similar enough. The domain of
 shingle hashes is cut into partitions; each difference spoils one partition, so two similar sets agree on the contents
 of all but k. In the terms of PartEnum a first-level partition is cut in n2 = 2 and may hold k2 = 1 difference; every
-subset of n2 - k2 = 1 of its parts is a signature. More than k signatures that are not shared by very many sets prove
+subset of n2 - k2 = 1 of its parts is a signature: the content of one part, no larger subsets are enumerated. In bands of
+up to SINGLE elements every element is a signature, an inverted index with overlap counts. More than k signatures that are not shared by very many sets prove
 that none is needed that is. What shares a signature is verified on the whole sets.
 """
 
