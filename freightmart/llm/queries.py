@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import ship
+from .exact import exact_dedup
 from .forest import nearest
 from .licenses import license_scan
 from .packing import best_fit_packing
@@ -110,3 +111,12 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as files <source>/<lang>/<doc_id>: their sources are the directories."""
     files = table(spark, folder, "documents").withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
     return license_scan(files)
+
+
+@query("""
+WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
+FROM t WINDOW g AS (PARTITION BY text_sha256)
+""")
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup(table(spark, folder, "documents"))
