@@ -16,6 +16,7 @@ from .partenum import jaccard_join
 from .pieces import piece_check
 from .pii import personal_data
 from .quality import quality_classifier
+from .spelling import spelling_variants
 from .topk import exact_top_k
 from .toxicity import toxicity
 from .urls import url_filter
@@ -120,3 +121,39 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """)
 def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
+
+
+#: U+00C0 to U+00FF, and 64 other one-byte characters that words do not hold: DuckDB's edit distance counts bytes.
+WIDE = "".join(chr(c) for c in range(0xC0, 0x100))
+NARROW = "".join(chr(c) for c in range(33, 127) if chr(c) not in "abcdefghijklmnopqrstuvwxyz'\\")[:64]
+
+
+@query(rf"""
+WITH RECURSIVE bit AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x : CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(0, 256))::BIGINT AS i)),
+o AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+d AS (SELECT doc_id, run, count(*) AS c FROM o GROUP BY ALL),
+h AS (
+  SELECT run, c, xor(list_reduce(
+    flatten([[4294967295]] || [CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END
+                               FOR x IN string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')]),
+    lambda s, b : xor(tab[(xor(s, b) & 255) + 1], s >> 8)), 4294967295) AS h
+  FROM d, bit),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c FROM h),
+w AS (SELECT word, sum(c)::BIGINT AS n, translate(word, '{WIDE}', '{NARROW}') AS code FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+x AS (
+  SELECT word, n, code, code AS cut FROM w UNION
+  SELECT word, n, code, left(code, i) || substr(code, i + 2) FROM (SELECT *, unnest(range(0, length(code))) AS i FROM w)),
+p AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.cut = b.cut AND a.code <> b.code WHERE levenshtein(a.code, b.code) = 1),
+g AS (SELECT word, n, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM p GROUP BY word, n),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+      FROM w LEFT JOIN g ON g.word = w.word),
+r AS (SELECT word, form AS last, 1 AS step FROM f WHERE form IS NOT NULL UNION ALL SELECT r.word, f.form, step + 1 FROM r JOIN f ON f.word = r.last WHERE f.form IS NOT NULL),
+e AS (SELECT word, arg_max(last, step) AS root FROM r GROUP BY word)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN e ON e.word = f.word
+""")
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -171,3 +172,25 @@ def distinct(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     first[1:] = values[1:] != values[:-1]
     first[offsets[:-1][offsets[:-1] < len(values)]] = True
     return values[first], np.concatenate([[0], np.cumsum(first)])[offsets]
+
+
+def windows(texts: Texts, inside_of: Callable[[np.ndarray], np.ndarray], size: int) -> Iterator[tuple[Texts, np.ndarray, int]]:
+    """The texts in parts of about ``size`` bytes, with the marks ``inside_of`` gives their bytes and the first row of each.
+
+    A text may go on in the next part; a cut lies where the byte before or behind it is not inside.
+    """
+    at, n = 0, len(texts.data)
+    while at < n:
+        to, marks = min(n, at + size), None
+        while marks is None:
+            marks = inside_of(texts.data[at:to])
+            out = np.flatnonzero(~marks[size // 2:])
+            if to < n and not len(out):  # one run without an end so far
+                to, marks = min(n, at + 2 * (to - at)), None
+            elif to < n:
+                to = at + size // 2 + int(out[-1]) + 1
+                marks = marks[:to - at]
+        first = int(np.searchsorted(texts.offsets, at, "right")) - 1
+        last = int(np.searchsorted(texts.offsets, to, "left"))
+        yield Texts(texts.data[at:to], np.clip(texts.offsets[first:last + 1], at, to) - at), marks, first
+        at = to
