@@ -13,6 +13,7 @@ from .forest import nearest
 from .licenses import license_scan
 from .packing import best_fit_packing
 from .partenum import jaccard_join
+from .phrases import collocations
 from .pieces import piece_check
 from .pii import personal_data
 from .quality import quality_classifier
@@ -157,3 +158,29 @@ SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM f LE
 """)
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(table(spark, folder, "documents"))
+
+
+@query(r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT lang, unnest(regexp_extract_all(x, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+tot AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+o AS (SELECT lang, ws, i, unnest(range(1, least(5, len(ws) - i + 1) + 1)) AS m FROM s),
+f AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS c FROM o GROUP BY ALL HAVING count(*) >= 100),
+x AS (SELECT lang, m, phrase, c, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2),
+inner_ AS (
+  SELECT lang, c, array_to_string(ws[1:m - 1], ' ') AS phrase FROM x WHERE m >= 3 UNION ALL
+  SELECT lang, c, array_to_string(ws[2:m], ' ') FROM x WHERE m >= 3),
+k AS (SELECT lang, phrase, c AS a, ws, m, unnest(range(1, m)) AS k FROM x
+      WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = x.lang AND i.phrase = x.phrase AND 100 * i.c >= 100 * x.c)),
+z AS (
+  SELECT k.lang, k.phrase, a, k, l.c AS l, r.c AS r, n, (1000::HUGEINT * a * n) // (l.c::HUGEINT * r.c) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+         JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(ws[k + 1:k.m], ' ') JOIN tot ON tot.lang = k.lang),
+b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM b QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+""")
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))

@@ -68,15 +68,6 @@ def checksums(data: np.ndarray, start: np.ndarray, end: np.ndarray, before: np.n
     return out
 
 
-def slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    """The texts data[start:end] as an Arrow array."""
-    length = end - start
-    offsets = np.concatenate([[0], np.cumsum(length)])
-    places = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], length)
-    body = np.ascontiguousarray(data[places])
-    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body)).cast(pa.string())
-
-
 def count_runs(every: int, least: int):
     """A function from batches of (id, text) to words and how often a step of the texts holds them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +97,7 @@ def _step_words(texts: W.Texts, inside: np.ndarray, ids: list, every: int, least
     plain = ~spoilt & (points >= least)
     start, end = found.start[plain], found.end[plain]
     _, index, counts = np.unique(W.hashes(data, start, end), return_index=True, return_counts=True)
-    words = pa.concat_arrays([slices(data, start[index], end[index]), pa.array(list(changed), pa.string())])
+    words = pa.concat_arrays([W.slices(data, start[index], end[index]), pa.array(list(changed), pa.string())])
     counts = np.concatenate([counts, np.fromiter(changed.values(), np.int64, len(changed))])
     return pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64())], ["word", "n"])
 
