@@ -25,7 +25,7 @@ MOST = 5
 #: Bytes of text that one step counts.
 STEP = 1 << 22
 #: Phrase occurrences that a hash partition holds on average at most; items gathered before they are merged.
-PART_MASS, GATHER = 1 << 24, 1 << 21
+PART_MASS, GATHER = 1 << 24, 1 << 22
 #: Bits of a survivors' map for each survivor, and the most bits of a map. A fuller map lets more infrequent phrases
 #: through to the exact count and changes no result.
 BITS_EACH, MOST_BITS = 32, 1 << 30
@@ -95,6 +95,14 @@ class Step:
         return out, start[:-1], start[:-1] + length
 
 
+def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct keys with the sums of their counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
 class Summary:
     """Misra-Gries counters of one hash partition: with more than mass / threshold counters, no key that occurs
     ``threshold`` times is lost, and no key's count is short by more than ``taken``, which stays below the threshold."""
@@ -105,11 +113,7 @@ class Summary:
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Merge further counts in, then take as much from all counters as leaves no more than there may be."""
-        keys, counts = np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts])
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
-        self.keys, self.counts = keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+        self.keys, self.counts = added(np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts]))
         if len(self.keys) > self.counters:
             place = len(self.counts) - self.counters - 1
             least = int(np.partition(self.counts, place)[place])
@@ -175,22 +179,27 @@ SUMMED = "part bigint, head boolean, mass bigint, counts binary"
 def deal(log: int, sizes: range, short: BitMap | None):
     """A function from texts to counted phrases of ``sizes`` words by hash partition, each with a head row that says how many
     occurrences follow. The 32 bits behind the partition's ``log`` bits name a phrase."""
+    def dealt(waiting: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, counts = added(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+        waiting.clear()
+        own, edges = np.unique((keys >> np.uint64(32)).astype(np.int64), return_index=True)
+        rows = []
+        for p, a, b in zip(own.tolist(), edges.tolist(), np.append(edges[1:], len(keys))[:len(own)].tolist(), strict=True):
+            mass = int(counts[a:b].sum())
+            rows += [(p, True, mass, None), (p, False, mass, pack(keys[a:b].astype(np.uint32), counts[a:b]))]
+        kinds = zip(("part", "head", "mass", "counts"), (pa.int64(), pa.bool_(), pa.int64(), pa.binary()), range(4), strict=True)
+        return pa.RecordBatch.from_pydict({name: pa.array([r[i] for r in rows], kind) for name, kind, i in kinds})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
         for step in each_step(batches):
             source = step.phrases(sizes[-1]) if short is None else step.survivors(short, most=sizes[-1])
-            hashed = np.concatenate([h for m, _, h in source if m in sizes] + [np.zeros(0, np.uint64)])
-            keys, counts = np.unique(hashed >> np.uint64(32 - log), return_counts=True)
-            part = (keys >> np.uint64(32)).astype(np.int64)
-            own, edges = np.unique(part, return_index=True)
-            rows = []
-            for p, a, b in zip(own.tolist(), edges.tolist(), np.append(edges[1:], len(keys))[:len(own)].tolist(), strict=True):
-                mass = int(counts[a:b].sum())
-                rows += [(p, True, mass, None), (p, False, mass, pack(keys[a:b].astype(np.uint32), counts[a:b]))]
-            if rows:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
-                    pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary())],
-                    ["part", "head", "mass", "counts"])
+            hashed = np.concatenate([h for m, _, h in source if m in sizes])
+            waiting.append(np.unique(hashed >> np.uint64(32 - log), return_counts=True))
+            if sum(len(k) for k, _ in waiting) >= GATHER:
+                yield dealt(waiting)
+        if waiting:
+            yield dealt(waiting)
     return run
 
 
@@ -259,18 +268,30 @@ def bit_map(texts: DataFrame, mass: int, sizes: range, threshold: int, short: Bi
 
 
 def count_known(short: BitMap, long: BitMap):
-    """A function from texts to lang, phrase, its number of words and how often a step holds it, of the phrases the maps know."""
+    """A function from texts to lang, phrase, its number of words and how often the texts hold it, of the phrases the maps
+    know; what a task has found is added up before it leaves."""
+    def summed(waiting: list[tuple]) -> pa.RecordBatch:
+        hashed, sizes, counts = (np.concatenate([w[i] for w in waiting]) for i in range(3))
+        _, first, inverse = np.unique(hashed, return_index=True, return_inverse=True)
+        keys, totals = added(inverse, counts)
+        at = pa.array(first[keys])
+        languages, phrases = (pa.concat_arrays([w[i] for w in waiting]).take(at) for i in (3, 4))
+        waiting.clear()
+        return pa.RecordBatch.from_arrays([languages, phrases, pa.array(sizes[first[keys]]), pa.array(totals)], ["lang", "phrase", "m", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
         for step in each_step(batches):
             data, start, end = step.joined()
             for m, first, hashed in step.survivors(short, long):
-                _, index, counts = np.unique(hashed, return_index=True, return_counts=True)
-                if not len(index):
-                    continue
+                keys, index, counts = np.unique(hashed, return_index=True, return_counts=True)
                 at = first[index]
-                yield pa.RecordBatch.from_arrays([
-                    step.languages.take(pa.array(step.row[at])), W.slices(data, start[at], end[at + m - 1]),
-                    pa.array(np.full(len(at), m, np.int64)), pa.array(counts.astype(np.int64))], ["lang", "phrase", "m", "n"])
+                waiting.append((keys, np.full(len(at), m, np.int64), counts.astype(np.int64),
+                                step.languages.take(pa.array(step.row[at])), W.slices(data, start[at], end[at + m - 1])))
+            if sum(len(w[0]) for w in waiting) >= GATHER:
+                yield summed(waiting)
+        if waiting:
+            yield summed(waiting)
     return run
 
 
@@ -296,7 +317,7 @@ def collocations(docs: DataFrame, threshold: int = 100, best: int = 2000) -> Dat
     score floor(1000 a n / (l r)); of several cuts of the least score the first counts. A phrase that lies inside a longer
     one of the same count is left out. A null text is empty, a null lang is ``und``; repeated rows count repeatedly, other
     columns are not looked at, an empty table has no phrases. Texts of any length are read in steps that end where a piece
-    does. Within a step phrases are told apart by 64-bit hashes, else by their text.
+    does. Within some million counts of one task phrases are told apart by 64-bit hashes, else by their text.
     """
     frequent, totals = frequent_phrases(docs, threshold)
     phrases = frequent.where("m >= 2").select("lang", "phrase", F.col("f").alias("a"), "m", F.split("phrase", " ").alias("w"))
