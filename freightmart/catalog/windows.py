@@ -51,8 +51,7 @@ def ordinal_pairing(t):
 
     left, left_order = side("R", "r")
     right, right_order = side("A", "a")
-    month = lambda c: F.date_trunc("month", F.col(c).cast("timestamp"))
-    paired = pair_by_ordinal(left, right, ["l_partkey"], left_order, right_order, month("r_shipped"), month("a_shipped"))
+    paired = pair_by_ordinal(left, right, ["l_partkey"], left_order, right_order)
     return paired.select(
         "l_partkey", "ordinal", F.col("r_l_orderkey").alias("r_order"), F.col("r_l_quantity").alias("r_quantity"),
         F.col("a_l_orderkey").alias("a_order"), F.col("a_l_quantity").alias("a_quantity"),
@@ -69,8 +68,7 @@ def row_ordinals(t):
         "l_suppkey", "l_returnflag", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"),
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     numbered = number_rows(
-        rows, ["l_suppkey", "flag"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"], "position",
-        coarse=F.date_trunc("month", F.col("l_shipdate").cast("timestamp")))
+        rows, ["l_suppkey", "flag"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"], "position")
     return numbered.select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "position")
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in pairs])
@@ -30,11 +32,13 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, names: dict[st
 def link_full_join(one: DataFrame, many: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Full outer join of a document side with the side that points to it.
 
-    ``pairs`` are (column of ``one``, column of ``many``). Adaptive execution cannot split a full outer join. Here the
-    pointing side is the preserved side of a left join, which it can split when a key is hot, and the documents that
+    ``pairs`` are (column of ``one``, column of ``many``). Both sides are computed once and kept, so a chain of links reads
+    every source a fixed number of times however long it is. Adaptive execution cannot split a full outer join. Here the
+    pointing side is the preserved side of a left join, whose hot keys it cuts by rows, and the documents that
     nothing points to are added by an anti join against the distinct keys. Rows with a NULL key never match: those of
     ``many`` keep no document, those of ``one`` are among the added.
     """
+    one, many = cut_lineage(one), cut_lineage(many)
     back = [(b, a) for a, b in pairs]
     linked = many.join(one, equal(many, one, back), "left").select(*one.columns, *many.columns)
     met = many.select(*[F.col(b).alias(f"__m{i}") for i, (_, b) in enumerate(pairs)]).dropna().distinct()

@@ -1,10 +1,11 @@
 """Row numbers inside key groups that may be arbitrarily large.
 
-The group is cut into ordered slices by an order-preserving ``coarse`` value
-(a month, a day, a price band). Rows are numbered inside their slice and moved
-by the number of rows in the earlier slices, so no task holds a whole group.
-Identical rows are first collapsed into one row with a count and expanded
-again in chunks, so a mass of copies does not fill one slice either.
+The rows are dealt into sorted ranges by (key, order), with bounds that Spark
+samples. Each range is numbered by itself, and the part of a key that lies in a
+later range is moved by the key's rows in the ranges before. No task holds more
+than its range, however hot a key or one value of its order is. Identical rows
+are first collapsed into one row with a count and expanded again in chunks, so
+a mass of copies does not fill one range either.
 """
 
 from __future__ import annotations
@@ -14,88 +15,74 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .totals import null_safe
+
 CHUNK = 1_000_000
 
 
-SPREAD = 4096
+def sorted_ranges(df: DataFrame, by: Sequence[Column], out: str) -> DataFrame:
+    """``df`` dealt into ranges of the order ``by``, kept, with the ascending number of each row's range in ``out``."""
+    return cut_lineage(df.repartitionByRange(*by).withColumn(out, F.spark_partition_id()))
+
+
+def running_sums(ranged: DataFrame, keys: Sequence[str], sort: Sequence[Column], weight: str, part: str, out: str) -> DataFrame:
+    """Sum of ``weight`` from the first row of a key to each of its rows, over rows dealt by ``sorted_ranges``.
+
+    A range holds a key from its first row on only where the range before ends with that key, so the sums carried over
+    are one row for each range at most.
+    """
+    upto = Window.partitionBy(part, *keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(part, *keys).agg(F.sum(weight).alias("__size"))
+    carried = sizes.withColumn("__before", F.sum("__size").over(earlier)).where("__before > 0")
+    carried = carried.select(F.col(part).alias("__in"), *[F.col(k).alias(f"__k_{k}") for k in keys], "__before")
+    on = (ranged[part] == carried["__in"]) & null_safe(ranged, carried, [(k, f"__k_{k}") for k in keys])
+    moved = ranged.withColumn(out, F.sum(weight).over(upto)).join(F.broadcast(carried), on, "left")
+    return moved.withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0))).drop("__in", "__before", *[f"__k_{k}" for k in keys])
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-    coarse: Column | None = None, collapse: bool = True, where: Column | None = None, sizes_from: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, collapse: bool = True, where: Column | None = None,
 ) -> DataFrame:
     """Number the rows of every ``keys`` group from 1, ascending by ``order``.
 
     ``order`` lists columns (ascending, NULL last). The remaining columns are
-    appended to make the order total. ``coarse`` must not decrease when the
-    rows are read in that order; without it the groups must be known small.
-    ``collapse=False`` says the rows are already distinct. Rows outside
-    ``where`` are not numbered and get 0. ``sizes_from`` is a frame with the
-    same rows to count the slices from, when ``df`` itself is costlier to
-    compute again.
+    appended to make the order total; NULL keys are equal. ``collapse=False``
+    says the rows are already distinct. Rows outside ``where`` are not numbered
+    and get 0.
     """
     columns = df.columns
     rest = [c for c in columns if c not in keys and c not in order]
     sort = [F.col(c).asc_nulls_last() for c in [*order, *rest]]
-    counted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        # one struct key keeps NULL keys equal and lets window and join share a shuffle
-        slice_value = F.lit(0) if coarse is None else coarse
-        return rows.withColumn(
-            "__slice", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], slice_value.alias("c"))
-        )
-
     if collapse:
         rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
     else:
         rows = df.withColumn("__copies", F.lit(1).cast("long"))
-    rows = sliced(rows).withColumn("__on", counted)
-    partition = [F.col("__slice")]
-    if where is not None:
-        # rows that are not numbered are dealt out evenly instead of forming one group
-        partition.append(F.when(~counted, F.pmod(F.xxhash64(*order), F.lit(SPREAD))))
-    within = Window.partitionBy(*partition).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = rows.withColumn("__end", F.sum("__copies").over(within))
-
-    if coarse is not None:
-        group = [F.col(f"__slice.k{i}") for i in range(len(keys))]
-        earlier = (
-            Window.partitionBy(*group)
-            .orderBy(F.col("__slice.c").asc_nulls_last())
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        source = rows if sizes_from is None else sliced(sizes_from).withColumn("__copies", F.lit(1).cast("long"))
-        if where is None:
-            sizes = source.groupBy("__slice").agg(F.sum("__copies").alias("__size"))
-        else:
-            # no filter, and every column asked for: the branch keeps the shuffles of the
-            # rows it counts, and Spark computes them once for both
-            asked = df.columns if sizes_from is None else sizes_from.columns
-            sizes = source.groupBy("__slice").agg(
-                F.sum(F.when(counted, F.col("__copies"))).alias("__size"), F.max(F.xxhash64(*asked)).alias("__all")
-            ).where(F.col("__size").isNotNull() & F.col("__all").isNotNull())
-        offsets = sizes.select("__slice", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
-        placed = placed.join(offsets, "__slice", "left").withColumn("__end", F.col("__end") + F.coalesce("__before", F.lit(0)))
-
-    number = F.when(F.col("__on"), F.col("__end")).otherwise(0) if where is not None else F.col("__end")
+    counted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    rows = rows.withColumn("__on", counted).withColumn("__weight", F.when(F.col("__on"), F.col("__copies")).otherwise(0))
+    ranged = sorted_ranges(rows, [*[F.col(k) for k in keys], *sort], "__part")
+    placed = running_sums(ranged, keys, sort, "__weight", "__part", "__end")
     if not collapse:
-        return placed.select(*columns, number.alias(out))
+        return placed.select(*columns, F.when(F.col("__on"), F.col("__end")).otherwise(0).alias(out))
     chunked = placed.withColumn("__chunk", F.explode(F.expr(f"sequence(0, (__copies - 1) div {CHUNK})")))
     first = F.col("__end") - F.col("__copies") + F.col("__chunk") * CHUNK
     last = F.least(first + CHUNK, F.col("__end"))
-    numbered = chunked.select(*columns, "__on", F.explode(F.sequence(first + 1, last)).alias(out))
-    return numbered.withColumn(out, F.when(F.col("__on"), F.col(out)).otherwise(0)).drop("__on")
+    # copies that are not numbered are repeated all the same
+    spread = F.when(F.col("__on"), F.sequence(first + 1, last)).otherwise(
+        F.array_repeat(F.lit(0).cast("long"), F.least(F.lit(CHUNK), F.col("__copies") - F.col("__chunk") * CHUNK).cast("int")))
+    return chunked.select(*columns, F.explode(spread).alias(out))
 
 
 def pair_by_ordinal(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[str], right_order: Sequence[str],
-    left_coarse: Column | None = None, right_coarse: Column | None = None, how: str = "left", out: str = "ordinal",
+    out: str = "ordinal",
 ) -> DataFrame:
-    """Join the n-th row of a key on the left with the n-th row of the same key on the right.
+    """Every row of the left with the row of the right that has the same key and the same place within it, if there is one.
 
-    (key, ordinal) is unique on both sides, so a hot key spreads over the join.
+    (key, ordinal) is unique on both sides, so a hot key spreads over the join. Rows with a NULL in the key are numbered on
+    the left and never pair; those of the right are left out before anything is numbered.
     """
-    numbered_left = number_rows(left, keys, left_order, out, left_coarse)
-    numbered_right = number_rows(right, keys, right_order, out, right_coarse)
-    return numbered_left.join(numbered_right, [*keys, out], how)
+    numbered_left = number_rows(left, keys, left_order, out)
+    numbered_right = number_rows(right.dropna(subset=list(keys)), keys, right_order, out)
+    return numbered_left.join(numbered_right, [*keys, out], "left")

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
@@ -29,3 +31,19 @@ def attach_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Colum
     renamed = grouped.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *totals)
     pairs = [(k, f"__k_{k}") for k in keys]
     return df.join(renamed, null_safe(df, renamed, pairs), "left").drop(*[b for _, b in pairs])
+
+
+def attach_many_totals(df: DataFrame, groups: Sequence[tuple[Sequence[str], Mapping[str, Column]]]) -> DataFrame:
+    """Totals over several groupings, all taken from the columns of ``df`` itself; NULL keys are a group.
+
+    The rows are computed once and kept. Every grouping aggregates the kept rows, so the plan grows with the number of
+    groupings, where one ``attach_totals`` after the other doubles it each time.
+    """
+    base = cut_lineage(df)
+    rows = base
+    for n, (keys, totals) in enumerate(groups):
+        grouped = base.groupBy(*keys).agg(*[expr.alias(name) for name, expr in totals.items()])
+        renamed = grouped.select(*[F.col(k).alias(f"__k{n}_{k}") for k in keys], *totals)
+        pairs = [(k, f"__k{n}_{k}") for k in keys]
+        rows = rows.join(renamed, null_safe(rows, renamed, pairs), "left").drop(*[b for _, b in pairs])
+    return rows

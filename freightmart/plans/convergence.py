@@ -152,12 +152,8 @@ def convergence_own_storage(orders: DataFrame, issued: DataFrame, partner: DataF
     own = orders.join(issued.withColumnRenamed("order", "ref"), "ref", "left").drop("ref", "item", "issue_day")
     other = partner.join(archive, "archive_id", "left").withColumns({
         "order_id": F.col("partner_id"), "item_id": F.col("partner_item")}).drop("archive_id")
-    band = lambda c: F.floor(F.col(c) / 10)
     # a NULL order or item keeps its own row, it just never meets a partner
-    rows = pair_by_ordinal(
-        own, other, ["order_id", "item_id"], ["quantity"], ["partner_quantity"], band("quantity"), band("partner_quantity"),
-        out="position",
-    )
+    rows = pair_by_ordinal(own, other, ["order_id", "item_id"], ["quantity"], ["partner_quantity"], out="position")
     no, yes = fixed.NO, fixed.YES
     deleted = F.col("deleted")
     known, gone_there = F.col("partner_id").isNotNull(), F.col("partner_deleted") == yes

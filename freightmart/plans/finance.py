@@ -197,10 +197,8 @@ def request_cost(rows: DataFrame, requests: DataFrame, since: str = "2020-01-01"
 
     # newest plan first, then newest route; negative days sort descending with NULL last
     micros = lambda c: -F.unix_micros(F.col(c).cast("timestamp"))
-    month = 30 * 86400 * 1_000_000
     ordered = kept.withColumn("__plan", micros("load_plan")).withColumn("__route", micros("route_date"))
-    numbered = number_rows(ordered, ["request_number"], ["__plan", "__route"], "__n",
-                           coarse=F.floor(F.col("__plan") / month)).drop("__plan", "__route")
+    numbered = number_rows(ordered, ["request_number"], ["__plan", "__route"], "__n").drop("__plan", "__route")
     price, cost, asked = F.col("customer_price"), F.col("carrier_price"), F.coalesce("request_price", F.lit(0))
     totals = attach_totals(numbered, ["request_number"], {
         "last_status_date": F.max("status_date"), "last_route_date": F.max(F.col("route_date").cast("date")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution is part of the design: it picks broadcast sides from
@@ -34,16 +36,19 @@ def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8) -> Sp
 
 
 def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``.
+    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``: computed once, read as often as needed.
 
     ``fallback_dir`` is used only where neither that setting nor a checkpoint
-    folder of the context exists, as in tests.
+    folder of the context exists; a local session, as in tests, gets a folder of
+    its own.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
         folder = shared or fallback_dir
+        if folder is None and context.master.startswith("local["):
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
         if folder is None:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can read")
         context.setCheckpointDir(folder)

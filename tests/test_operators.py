@@ -53,18 +53,18 @@ def test_number_rows_equals_plain_numbering_with_copies_and_nulls(spark):
     for row in rows:
         groups[row[0]].append(row)
     want = Counter(row + (n,) for group in groups.values() for n, row in enumerate(sorted(group, key=lambda r: r[1:]), 1))
-    got = ordinal.number_rows(df, ["k"], ["v"], "n", coarse=F.floor(F.col("v") / 10))
+    got = ordinal.number_rows(df, ["k"], ["v"], "n")
     assert rows_of(got) == want
     old, ordinal.CHUNK = ordinal.CHUNK, 7  # copies expanded over several chunks
     try:
-        assert rows_of(ordinal.number_rows(df, ["k"], ["v"], "n", coarse=F.floor(F.col("v") / 10))) == want
+        assert rows_of(ordinal.number_rows(df, ["k"], ["v"], "n")) == want
     finally:
         ordinal.CHUNK = old
 
 
 def test_number_rows_leaves_out_rows(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "k string, v int")
-    got = ordinal.number_rows(df, ["k"], ["v"], "n", coarse=F.col("v"), collapse=False, where=F.col("k").isNotNull())
+    got = ordinal.number_rows(df, ["k"], ["v"], "n", collapse=False, where=F.col("k").isNotNull())
     assert rows_of(got) == Counter([("a", 1, 1), ("a", 2, 2), (None, 3, 0), (None, 4, 0)])
 
 
