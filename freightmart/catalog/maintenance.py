@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import literals as fixed
 from ..operators import dedupe, locks, relations
 from ..plans import reference
+from ..session import cut_lineage
 from .registry import AS_OF, query, text
 from .stock import QUANTITY
 
@@ -109,8 +110,27 @@ def column_relations(t):
 
 @query(f"WITH {PAIRS_SQL}, chosen AS (SELECT * FROM pairs WHERE table_name IN ('orders', 'region') OR rel_table_name IN ('orders', 'region')) {LONELY_SQL}")
 def relations_increment(t):
+    """The relations of tables that the stored rows do not cover, found from the stored values of the others."""
     tables, candidates = related_tables(t)
-    return relations.column_relations(tables, candidates, new_tables=["orders", "region"])
+    earlier = {name: df for name, df in tables.items() if name not in ("orders", "region")}
+    known = {name: candidates[name] for name in earlier}
+    index, stored = cut_lineage(relations.index_values(earlier, known)), cut_lineage(relations.column_relations(earlier, known))
+    new = {name: tables[name] for name in relations.tables_not_covered(list(tables), stored)}
+    pairs = relations.pairs_with_new(index, relations.index_values(new, {name: candidates[name] for name in new}))
+    return relations.with_lonely(pairs, relations.catalog_frame(t.spark, candidates))
+
+
+PROBED = [
+    ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_returnflag", "orders", "o_orderstatus"),
+    ("lineitem", "l_linestatus", "orders", "o_orderstatus"), ("part", "p_name", "customer", "c_name"), ("events", "event_id", "part", "p_partkey"),
+]
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{a}' AS table_name, '{b}' AS column_name, '{c}' AS rel_table_name, '{d}' AS rel_column_name, "
+    f"(EXISTS (SELECT 1 FROM {a} x JOIN {c} y ON x.{b} = y.{d} AND x.{b}::VARCHAR <> '{fixed.ZERO_REF}'))::BIGINT AS related" for a, b, c, d in PROBED))
+def pair_probe(t):
+    return relations.probe_pairs({name: t[name] for pair in PROBED for name in pair[::2]}, PROBED)
 
 
 @query(f"""

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import semantics as s
 from ..operators.ordinal import number_rows, pair_by_ordinal
-from ..operators.stringagg import list_values
+from ..operators.stringagg import list_parts, list_values
 from ..operators.topk import first_per_key, first_with_ties
 from ..operators.totals import attach_totals
-from .registry import money, query
+from .registry import money, query, text
 
 
 @query("""
@@ -90,6 +90,18 @@ def listagg_all(t):
     return list_values(rows, ["l_orderkey"], "flag", "; ", "flags", distinct=False)
 
 
+@query("""
+SELECT l_returnflag, part, string_agg(item, ',' ORDER BY item) AS items FROM (
+  SELECT l_returnflag, item, (row_number() OVER (PARTITION BY l_returnflag ORDER BY item) - 1) // 1000 AS part FROM (
+    SELECT l_returnflag, CASE WHEN l_linenumber > 1 THEN l_partkey::VARCHAR END AS item FROM lineitem) WHERE item IS NOT NULL)
+GROUP BY l_returnflag, part
+""")
+def listagg_parts(t):
+    """Three groups of a third of all lines each, in parts of 1,000 values."""
+    rows = t.lineitem.select("l_returnflag", F.when(F.col("l_linenumber") > 1, text("l_partkey")).alias("item"))
+    return list_parts(rows, ["l_returnflag"], "item", ",", "items", distinct=False, size=1000)
+
+
 @query("""
 SELECT user_id, max(n) AS events, max(first_type) AS first_type, max(last_type) AS last_type, max(last_dated) AS last_dated
 FROM (SELECT user_id, count(*) OVER (PARTITION BY user_id) AS n,

@@ -13,29 +13,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .joins import prefixed
+from .totals import attach_totals, null_safe
+
 
 def blocked_sessions(locks: DataFrame, session: str, granted: str, object_keys: Sequence[str]) -> DataFrame:
     """Waiting rows with a summary of the other sessions on the same object; NULL keys are equal."""
-    held = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(object_keys)])
-    keyed = locks.withColumn("__object", held)
+    keys = list(object_keys)
     # one row per object and session: the rest of the work no longer depends on repeats
-    sessions = keyed.groupBy("__object", session).agg(F.count(F.lit(1)).alias("n"))
-    objects = sessions.groupBy("__object").agg(
-        F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("rows"),
-        F.min(session).alias("first"), F.max(session).alias("last"),
-    )
-    # the second smallest and largest replace the waiting session itself
-    inner = (
-        sessions.join(objects, "__object")
-        .groupBy("__object")
-        .agg(
-            F.min(F.when(F.col(session) != F.col("first"), F.col(session))).alias("second"),
-            F.max(F.when(F.col(session) != F.col("last"), F.col(session))).alias("next_to_last"),
-        )
-    )
-    waiting = keyed.where(F.col(granted) == F.lit(False))
-    own = sessions.select("__object", session, F.col("n").alias("own_rows"))
-    joined = waiting.join(own, ["__object", session]).join(objects, "__object").join(inner, "__object")
+    sessions = cut_lineage(locks.groupBy(*keys, session).agg(F.count(F.lit(1)).alias("own_rows")))
+    # the second smallest and largest replace the waiting session itself; totals are joined back so that a busy object can be split
+    sessions = attach_totals(sessions, keys, {
+        "sessions": F.count(F.lit(1)), "rows": F.sum("own_rows"), "first": F.min(session), "last": F.max(session)})
+    sessions = attach_totals(sessions, keys, {
+        "second": F.min(F.when(F.col(session) != F.col("first"), F.col(session))),
+        "next_to_last": F.max(F.when(F.col(session) != F.col("last"), F.col(session))),
+    })
+    waiting = locks.where(F.col(granted) == F.lit(False))
+    others = prefixed(sessions, "__s_")
+    on = null_safe(waiting, others, [(k, f"__s_{k}") for k in [*keys, session]])
+    joined = waiting.join(others, on).select(
+        *[waiting[c] for c in locks.columns],
+        *[F.col(f"__s_{c}").alias(c) for c in ("own_rows", "sessions", "rows", "first", "last", "second", "next_to_last")])
     return joined.where(F.col("sessions") > 1).select(
         *locks.columns,
         (F.col("rows") - F.col("own_rows")).alias("blocking_rows"),

@@ -49,15 +49,14 @@ def transport_versions(
     ``vehicles``: ref, right_to_use. ``carrier_reasons``: ref.
     ``branches``: org, tax_id. ``complex_routes``: negotiation.
     """
-    # the current version is an aggregate joined back, so a number with many versions is not one task
     stamp = F.coalesce("updated_at", "created_at")
-    newest = transports.groupBy("number").agg(latest("version", stamp, "version").alias("__current"))
     own = vehicles.where(F.col("right_to_use") == fixed.OWN_VEHICLE).select(F.col("ref").alias("truck"), F.lit(1).alias("own"))
     blamed = carrier_reasons.select(F.col("ref").alias("cancel_reason"), F.lit(1).alias("blamed")).distinct()
     tax = branches.select(F.col("org").alias("carrier"), "tax_id").distinct()
     routed = complex_routes.select("negotiation", F.col("negotiation").alias("complex_route")).distinct()
     rows = (
-        transports.join(newest, "number", "left")
+        # the current version is an aggregate joined back null-safely: a number with many versions can be split
+        attach_totals(transports, ["number"], {"__current": latest("version", stamp, "version")})
         .join(own, "truck", "left").join(blamed, "cancel_reason", "left")
         .join(tax, "carrier", "left").join(routed, "negotiation", "left")
     )
