@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from freightmart.functions.semantics import ascending, descending
@@ -209,7 +210,10 @@ def test_relations_are_symmetric_and_equal_to_probes(spark):
     zero = relations.only_zero_columns(relations.column_values(tables, candidates))
     assert [tuple(r) for r in zero.collect()] == [("lines", "empty_key")]
     assert relations.tables_not_covered(["orders", "new"], got) == ["new"]
-    fresh = relations.related_pairs(tables, candidates, ["people"])
+    def index(chosen):
+        return relations.index_values({n: tables[n] for n in chosen}, {n: candidates[n] for n in chosen})
+
+    fresh = relations.pairs_with_new(index([n for n in tables if n != "people"]), index(["people"]))
     assert {r.table_name for r in fresh.collect()} == {"orders", "people"}
     words = {r.column_name: r.comment for r in relations.data_dictionary(got).where("table_name = 'orders'").collect()}
     assert words == {"id_key": "lines.order_key", "cust_key": "people.cust_key"}
@@ -226,3 +230,87 @@ def test_blocked_sessions_equal_the_pair_list(spark):
             want[n] = (len(others), len(set(others)), min(others), max(others))
     got = locks.blocked_sessions(df, "pid", "granted", ["obj"])
     assert {r.id: (r.blocking_rows, r.blocking_sessions, r.first_blocker, r.last_blocker) for r in got.collect()} == want
+
+
+def spread(spark, run, partitions=12):
+    """``run`` with so many ranges, none of them joined again for their small size."""
+    settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_one_key_and_one_month_are_numbered_by_many_tasks(spark):
+    rows = [("hot", date(2023, 5, 1), n) for n in range(600)] + [(None, date(2023, 5, 1), n) for n in range(300)] + [("x", None, 1)]
+    df = spark.createDataFrame(rows, "k string, d date, v int").repartition(7)
+    sort = [F.col("k"), F.col("d").asc_nulls_last(), F.col("v").asc_nulls_last()]
+    ranged = spread(spark, lambda: ordinal.sorted_ranges(df, sort, "__part"))
+    sizes = dict(ranged.where("k = 'hot'").groupBy("__part").count().collect())
+    assert len(sizes) >= 5 and max(sizes.values()) < 200
+    numbered = spread(spark, lambda: ordinal.number_rows(df, ["k"], ["d"], "n").collect())
+    got = defaultdict(list)
+    for r in numbered:
+        got[r.k].append((r.n, r.v))
+    assert {k: sorted(v) for k, v in got.items()} == {
+        "hot": [(n + 1, n) for n in range(600)], None: [(n + 1, n) for n in range(300)], "x": [(1, 1)]}
+
+
+def test_pairing_leaves_null_keys_of_the_right_out(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 1)], "k string, l int")
+    right = spark.createDataFrame([(None, 1)] * 50 + [("a", 3)], "k string, r int")
+    assert rows_of(ordinal.pair_by_ordinal(left, right, ["k"], ["l"], ["r"]).select("k", "l", "r")) == Counter([(None, 1, None), ("a", 1, 3)])
+
+
+@pytest.mark.parametrize("distinct,size", [(True, 3), (False, 3), (False, 1000), (True, 1)])
+def test_list_parts_in_order_are_the_whole_list(spark, distinct, size):
+    rng = random.Random(size)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, *[f"v{i:02d}" for i in range(20)]])) for _ in range(300)]
+    rows += [("empty", None), ("copies", "same")] + [("copies", "same")] * 50
+    df = spark.createDataFrame(rows, "k string, v string")
+    parts = spread(spark, lambda: stringagg.list_parts(df, ["k"], "v", "; ", "t", distinct=distinct, size=size).collect())
+    whole = dict(stringagg.list_values(df, ["k"], "v", "; ", "t", distinct=distinct).collect())
+    got = defaultdict(list)
+    for r in sorted(parts, key=lambda r: r.part):
+        assert r.part == len(got[r.k])
+        got[r.k].append(r.t)
+        assert r.t is None or len(r.t.split("; ")) <= size
+    assert {k: None if v == [None] else "; ".join(v) for k, v in got.items()} == whole
+
+
+def test_a_chain_of_links_computes_every_side_once(spark):
+    seen = {name: spark.sparkContext.accumulator(0) for name in "abcd"}
+
+    def source(name, keys):
+        def count(batches, counter=seen[name]):
+            for batch in batches:
+                counter.add(batch.num_rows)
+                yield batch
+        return spark.createDataFrame([(k, name) for k in keys], f"{name}_k int, {name}_v string").mapInArrow(count, f"{name}_k int, {name}_v string")
+
+    chain = source("a", range(10))
+    for name, keys in (("b", range(5, 15)), ("c", range(3)), ("d", [1] * 20)):
+        chain = joins.link_full_join(chain, source(name, keys), [("a_k", f"{name}_k")])
+    assert chain.count() == 9 + 20 + 5
+    assert {name: counter.value for name, counter in seen.items()} == {"a": 10, "b": 10, "c": 3, "d": 20}
+
+
+def test_many_totals_equal_single_totals(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([1, 2, None]), rng.choice(["x", None]), rng.randrange(9)) for _ in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, v int")
+    got = totals.attach_many_totals(df, [(["a"], {"s": F.sum("v")}), (["a", "b"], {"m": F.max("v")})])
+    want = totals.attach_totals(totals.attach_totals(df, ["a"], {"s": F.sum("v")}), ["a", "b"], {"m": F.max("v")})
+    assert rows_of(got) == rows_of(want)
+
+
+def test_probe_finds_a_shared_value_or_none(spark):
+    left = spark.range(1000).select(F.col("id").cast("string").alias("v"))
+    assert relations.shared_value(left, "v", spark.createDataFrame([(999,), (5000,)], "w long"), "w") == "999"
+    zero = spark.createDataFrame([("00000000-0000-0000-0000-000000000000",), (None,)], "v string")
+    assert relations.shared_value(zero, "v", zero, "v") is None
+    assert relations.shared_value(left, "v", spark.range(2000, 3000), "id") is None
