@@ -74,6 +74,21 @@ def number_rows(
     return chunked.select(*columns, F.explode(spread).alias(out))
 
 
+def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """Rank within every ``keys`` group, ascending by ``order`` with NULL last; equal places share a rank and leave a gap.
+
+    Equal places are counted first, their counts are summed over ranges, and the ranks are joined back null-safely.
+    """
+    base = cut_lineage(df)
+    places = base.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n"))
+    sort = [F.col(c).asc_nulls_last() for c in order]
+    ranged = sorted_ranges(places, [*[F.col(k) for k in keys], *sort], "__part")
+    placed = running_sums(ranged, keys, sort, "__n", "__part", "__end")
+    ranks = placed.select(*[F.col(c).alias(f"__r_{c}") for c in [*keys, *order]], (F.col("__end") - F.col("__n") + 1).alias(out))
+    on = null_safe(base, ranks, [(c, f"__r_{c}") for c in [*keys, *order]])
+    return base.join(ranks, on).select(*df.columns, out)
+
+
 def pair_by_ordinal(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[str], right_order: Sequence[str],
     out: str = "ordinal",
