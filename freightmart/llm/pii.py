@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ASKS = re.compile(r"[0-9@]")
-_WORD = re.compile(r"[^\s]*[0-9@+][^\s]*")
+_WORD, _MARK = re.compile(r"\S+"), re.compile(r"[0-9@+]")
 _DIGITS = re.compile(r"[^0-9]")
 
 
@@ -139,6 +140,8 @@ def runs_of(text: str) -> list[list[tuple[int, int]]]:
     """Runs of neighbouring words with a digit, @ or +; only white space without a line end stands between them."""
     out: list[list[tuple[int, int]]] = []
     for m in _WORD.finditer(text) if _ASKS.search(text) else ():
+        if not _MARK.search(text, m.start(), m.end()):
+            continue
         if out and not text[out[-1][-1][1]:m.start()].strip(" \t") and m.start() - out[-1][-1][1] <= 2:
             out[-1].append(m.span())
         else:
@@ -146,14 +149,30 @@ def runs_of(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+class Taken:
+    """Spans of one kind that do not overlap, in order, and whether one meets a place."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans, self.ends = list(spans), [b for _, b in spans]
+
+    def meets(self, a: int, b: int) -> tuple[int, int] | None:
+        i = bisect_right(self.ends, a)
+        return self.spans[i] if i < len(self.spans) and self.spans[i][0] < b else None
+
+    def add(self, a: int, b: int) -> None:
+        i = bisect_right(self.ends, a)
+        self.spans.insert(i, (a, b))
+        self.ends.insert(i, b)
+
+
 def labelled(text: str) -> list[tuple[list[str], list[int]]]:
-    spans = [(a, b, k) for k, kind in enumerate(KINDS) for a, b in base_spans(text)[kind]]
+    taken = [Taken(base_spans(text)[kind]) for kind in KINDS]
     out = []
     for run in runs_of(text):
         labels, before = [], None
         for a, b in run:
-            span = next(((x, y, k) for x, y, k in spans if x < b and a < y), None)
-            labels.append(0 if span is None else 1 + 2 * span[2] + (span == before))
+            span = next(((t.meets(a, b), k) for k, t in enumerate(taken) if t.meets(a, b)), None)
+            labels.append(0 if span is None else 1 + 2 * span[1] + (span == before))
             before = span
         out.append(([text[a:b] for a, b in run], labels))
     return out
@@ -220,6 +239,7 @@ def all_spans(texts: list[str], field: Field, cache: dict[str, np.ndarray]) -> t
     """Base spans of each text, and the same with those the field adds where no base span lies."""
     base = [base_spans(text) for text in texts]
     both = [{kind: list(spans) for kind, spans in own.items()} for own in base]
+    taken = [[*(Taken(own[kind]) for kind in KINDS), Taken([])] for own in base]
     by_length: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}
     for i, text in enumerate(texts):
         for run in runs_of(text):
@@ -242,8 +262,9 @@ def all_spans(texts: list[str], field: Field, cache: dict[str, np.ndarray]) -> t
                     word = texts[i][a:b]
                     left, right = len(word) - len(word.lstrip("\"'(<[{=:;,.")), len(word.rstrip("\"')>]}:;,.!?#$%&*|"))
                     a, b = a + left, a + right
-                    if a < b and not any(x < b and a < y for spans in both[i].values() for x, y in spans):
+                    if a < b and not any(t.meets(a, b) for t in taken[i]):
                         both[i][KINDS[label // 2]].append((a, b))
+                        taken[i][-1].add(a, b)
                     at_word = end
     for own in both:
         for spans in own.values():
