@@ -21,6 +21,7 @@ from .trees import Boosted, fit
 SAMPLE_ROWS = 20_000
 #: A document is kept from this score on.
 GOOD = 0.7
+GIVEN = ("__score", "__predicted")
 
 
 def held_out(doc_id):
@@ -96,7 +97,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 
 
 def quality_scores(docs: DataFrame, model: Boosted, *carry: str, good: float = GOOD) -> DataFrame:
-    """``carry`` columns of every document with score and predicted; null and empty texts get the score of an empty text."""
+    """``carry`` columns of every document with the columns GIVEN, score and predicted, under names that clash with none of a
+    table's own; null and empty texts get the score of an empty text."""
     columns = [F.col(f"`{c}`") for c in carry]
     source = docs.select(*columns, F.col("text").cast("string").alias("__text"))
     names = list(carry)
@@ -105,10 +107,10 @@ def quality_scores(docs: DataFrame, model: Boosted, *carry: str, good: float = G
         for batch, x in _with_statistics(batches, len(names)):
             score = model.score(x)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(score), pa.array((score >= good).astype(np.int32))], [*names, "score", "predicted"])
+                [*batch.columns[:-1], pa.array(score), pa.array((score >= good).astype(np.int32))], [*names, *GIVEN])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema.fields)
-    return source.mapInArrow(scored, f"{fields}, score double, predicted int")
+    return source.mapInArrow(scored, f"{fields}, {GIVEN[0]} double, {GIVEN[1]} int")
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -119,4 +121,5 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, sample_rows: int = SA
     """
     model = fit_quality(docs, labels, sample_rows)
     ids = pick(docs, doc_id="doc_id bigint", text="text string")
-    return quality_scores(ids, model, "doc_id").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    given = [F.col(c).alias(c.removeprefix("__")) for c in GIVEN]
+    return quality_scores(ids, model, "doc_id").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *given)

@@ -26,8 +26,9 @@ BUCKETS, FEATURES = 1 << 18, 4_000
 #: Words count whole and by their first bytes, so that inflected forms meet.
 PREFIXES = (4, 5, 6, 7)
 #: A feature must be found in so many toxic documents, and be so much (as a logarithm) commoner there.
-LEAST_DOCS, LEAST_LOG_ODDS = 6, 4.0
+LEAST_DOCS, LEAST_LOG_ODDS = 6, 2.0
 GRADES = 3
+GIVEN = ("__severity", "__grade", "__toxic")
 
 
 def buckets(texts: W.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -151,8 +152,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
 
 
 def toxicity_grades(docs: DataFrame, model: Ordinal, *carry: str) -> DataFrame:
-    """``carry`` columns of every document with severity (expected grade), grade (thresholds that are likelier passed than not)
-    and toxic (1 from the fitted margin on)."""
+    """``carry`` columns of every document with the columns GIVEN: severity (expected grade), grade (thresholds that are
+    likelier passed than not) and toxic (1 from the fitted margin on). Their names clash with none of a table's own."""
     columns = [F.col(f"`{c}`") for c in carry]
     names = list(carry)
 
@@ -162,11 +163,11 @@ def toxicity_grades(docs: DataFrame, model: Ordinal, *carry: str) -> DataFrame:
             above = model.at_least(margin)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(above.sum(axis=1)), pa.array((above >= 0.5).sum(axis=1).astype(np.int32)),
-                 pa.array((margin >= model.cut).astype(np.int32))], [*names, "severity", "grade", "toxic"])
+                 pa.array((margin >= model.cut).astype(np.int32))], [*names, *GIVEN])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema.fields)
     return (docs.select(*columns, F.col("text").cast("string").alias("__text"))
-            .mapInArrow(scored, f"{fields}, severity double, grade int, toxic int"))
+            .mapInArrow(scored, f"{fields}, {GIVEN[0]} double, {GIVEN[1]} int, {GIVEN[2]} int"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -177,4 +178,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     """
     model = fit_toxicity(docs, labels, sample_rows)
     graded = toxicity_grades(pick(docs, doc_id="doc_id bigint", text="text string"), model, "doc_id")
-    return graded.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "severity", "grade", "toxic")
+    given = [F.col(c).alias(c.removeprefix("__")) for c in GIVEN]
+    return graded.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *given)
