@@ -28,14 +28,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     ship(spark)
     model = fit_quality(docs, labels(spark, sf_dir))
-    return same_columns(quality_scores(docs, model, *docs.columns).where("predicted = 1"), docs)
+    return same_columns(quality_scores(docs, model, *docs.columns).where("__predicted = 1"), docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal regression does not grade as toxic."""
     ship(spark)
     model = fit_toxicity(docs, labels(spark, sf_dir))
-    return same_columns(toxicity_grades(docs, model, *docs.columns).where("toxic = 0"), docs)
+    return same_columns(toxicity_grades(docs, model, *docs.columns).where("__toxic = 0"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
