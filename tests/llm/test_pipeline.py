@@ -44,3 +44,17 @@ def test_stages(llm):
     packed = corpus_pipeline.packing(llm, docs, FOLDER).collect()
     assert {r["doc_id"] for r in packed} == before.keys()
     assert corpus_pipeline.run(llm, FOLDER).count() == len(packed)
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
+def test_stages_keep_columns_with_the_names_of_their_results(llm):
+    names = ["score", "predicted", "severity", "grade", "toxic", "held_out"]
+    own = llm.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 40")
+    docs = own.selectExpr("*", *[f"concat('{n} of ', doc_id) as {n}" for n in names])
+    for stage, plain in ((corpus_pipeline.quality, "quality"), (corpus_pipeline.toxicity, "toxicity")):
+        kept = stage(llm, docs, FOLDER)
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names)
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)[plain](llm, own, FOLDER).collect())
+        assert stage(llm, docs.limit(0), FOLDER).collect() == []
