@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,12 +135,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     if not len(chosen):
         return nothing
     place = {int(b): i for i, b in enumerate(chosen["bucket"])}
-    wanted = F.array(*map(F.lit, place)) if len(place) < 2 else F.lit(list(place))
-    pairs = F.filter(F.arrays_zip("bucket", "n"), lambda x: F.array_contains(wanted, x["bucket"]))
-    slim = rows.select("id", "label", pairs.alias("x")).toPandas().sort_values("id", kind="stable", ignore_index=True)
-    row = np.repeat(np.arange(len(slim)), [len(x) for x in slim["x"]])
-    feature = np.array([place[int(p["bucket"])] for x in slim["x"] for p in x], np.int64)
-    count = np.array([int(p["n"]) for x in slim["x"] for p in x], float)
+    at = np.full(BUCKETS, -1, np.int32)
+    at[list(place)] = np.arange(len(place))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features, hit = at[pc.list_flatten(batch.column(2)).to_numpy()], pc.list_parent_indices(batch.column(2)).to_numpy()
+            hit, use = hit[features >= 0], features >= 0
+            ends = np.concatenate([[0], np.cumsum(np.bincount(hit, minlength=batch.num_rows))]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v[use])) for v in (features, pc.list_flatten(batch.column(3)).to_numpy())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *lists], ["id", "label", "bucket", "n"])
+
+    slim = (rows.mapInArrow(wanted, "id bigint, label double, bucket array<int>, n array<int>").toPandas()
+            .sort_values("id", kind="stable", ignore_index=True))
+    row = np.repeat(np.arange(len(slim)), slim["bucket"].map(len))
+    feature = np.concatenate([*slim["bucket"], np.zeros(0)]).astype(np.int64)
+    count = np.concatenate([*slim["n"], np.zeros(0)])
     held = np.bincount(row, count, len(slim))
     is_toxic = slim["label"].to_numpy() > 0.5
     bounds = np.quantile(held[is_toxic], [i / GRADES for i in range(1, GRADES)])
