@@ -11,6 +11,7 @@ from ..functions import literals as fixed
 from ..functions.semantics import age_months, latest, month_of
 from ..operators.horizon import trailing_totals
 from ..operators.totals import attach_totals
+from ..session import cut_lineage
 
 MEASURES = [
     "requests", "won", "cancelled", "went", "cancelled_by_carrier", "complex_routes",
@@ -86,7 +87,9 @@ def bids_with_transports(negotiations: DataFrame, bids: DataFrame, branches: Dat
         .join(tax, "carrier", "left")
         .select("number", "bid_tax_id", F.col("carrier").alias("bid_carrier")).distinct()
     )
-    moved = versions.where(F.col("first_driver") != test_driver)
+    # both joins read the same offers and versions, which are worked out once and kept
+    offers = cut_lineage(offers)
+    moved = cut_lineage(versions.where(F.col("first_driver") != test_driver))
     named = offers.where(F.col("bid_carrier").isNotNull()).join(
         moved.withColumn("bid_carrier", F.col("carrier")), ["number", "bid_carrier"]
     )
@@ -153,18 +156,20 @@ def carrier_rating(carrier_list: DataFrame, days: DataFrame, as_of: date) -> Dat
     rows = carrier_list.join(days, "tax_id").withColumns({c: F.coalesce(c, F.lit(0)) for c in zero})
     rows = rows.withColumn("went", F.when(F.col("won") == 0, 0).otherwise(F.col("won") - F.col("cancelled")))
     kept_day = F.when((F.col("won") > 0) & (F.col("cancelled_by_carrier") == 0), F.col("day"))
-    rows = attach_totals(rows, ["carrier_name"], {"first_win": F.min(kept_day), "last_win": F.max(kept_day)})
     rows = rows.withColumn("month", month_of("day")).withColumn("working_start", F.col("created_at").cast("date"))
 
     paid = F.when(F.col("went") > 0, F.col("transport_price")).otherwise(0)
-    sums = {m: F.sum(m) for m in MEASURES if m != "transport_price"}
-    monthly = rows.groupBy("carrier_name", "tax_id", "working_start", "first_win", "last_win", "month").agg(
-        *[e.alias(m) for m, e in sums.items()],
-        F.max("mobile_application").alias("mobile_application"),
-        F.sum(paid).alias("transport_price"),
-    )
+    # the day rows are met once: months are few, and everything else is taken from them
+    monthly = cut_lineage(rows.groupBy("carrier_name", "tax_id", "working_start", "month").agg(
+        *[F.sum(m).alias(m) for m in MEASURES], F.max("mobile_application").alias("mobile_application"),
+        F.sum(paid).alias("__paid"), F.min(kept_day).alias("__first"), F.max(kept_day).alias("__last"),
+    ))
     # the horizons add up unconditional prices, as the day rows do
-    trailing = trailing_totals(rows, "tax_id", "month", MEASURES, HORIZONS)
+    trailing = trailing_totals(monthly, "tax_id", "month", MEASURES, HORIZONS)
+    monthly = attach_totals(monthly, ["carrier_name"], {"first_win": F.min("__first"), "last_win": F.max("__last")})
+    monthly = monthly.select(
+        "carrier_name", "tax_id", "working_start", "first_win", "last_win", "month", *[m for m in MEASURES if m != "transport_price"],
+        "mobile_application", F.col("__paid").alias("transport_price"))
     worked = age_months("last_win", "first_win")
     idle = age_months(F.lit(as_of.isoformat()).cast("date"), F.col("last_win"))
     months = worked - idle
