@@ -38,9 +38,8 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey
 
 
 def route_rows(t):
-    rows = (
-        t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(t.customer, F.col("c_custkey") == F.col("o_custkey")).join(t.part, F.col("p_partkey") == F.col("l_partkey")))
+    heads = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
+    rows = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).join(heads, F.col("o_orderkey") == F.col("l_orderkey"))
     flag, line, tax = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_tax")
     shipped = F.col("l_shipdate")
     days = lambda n: F.expr(f"INTERVAL {n} DAYS")

@@ -13,7 +13,7 @@ from ..operators.increment import changed_rows
 from ..operators.joins import within_seconds
 from ..operators.ordinal import number_rows
 from ..operators.stringagg import list_values
-from ..operators.totals import attach_totals
+from ..operators.totals import attach_many_totals
 
 HAZARD_CLASSES = [f"class{i}" for i in range(1, 10)]
 
@@ -200,11 +200,13 @@ def request_cost(rows: DataFrame, requests: DataFrame, since: str = "2020-01-01"
     ordered = kept.withColumn("__plan", micros("load_plan")).withColumn("__route", micros("route_date"))
     numbered = number_rows(ordered, ["request_number"], ["__plan", "__route"], "__n").drop("__plan", "__route")
     price, cost, asked = F.col("customer_price"), F.col("carrier_price"), F.coalesce("request_price", F.lit(0))
-    totals = attach_totals(numbered, ["request_number"], {
-        "last_status_date": F.max("status_date"), "last_route_date": F.max(F.col("route_date").cast("date")),
-        "price_request": F.sum(price), "cost_request": F.sum(cost), "asked_request": F.sum(asked).cast("decimal(12,2)"),
-    })
-    totals = attach_totals(totals, ["route_number"], {"price_route": F.sum(price), "cost_route": F.sum(cost)})
+    totals = attach_many_totals(numbered, [
+        (["request_number"], {
+            "last_status_date": F.max("status_date"), "last_route_date": F.max(F.col("route_date").cast("date")),
+            "price_request": F.sum(price), "cost_request": F.sum(cost), "asked_request": F.sum(asked).cast("decimal(12,2)"),
+        }),
+        (["route_number"], {"price_route": F.sum(price), "cost_route": F.sum(cost)}),
+    ])
     first_price = F.when(F.col("created_in") == fixed.PLATFORM_PLACE, asked.cast("decimal(12,2)")).otherwise(
         F.col("asked_request")
     )
