@@ -37,7 +37,10 @@ def encoder(path: str) -> PartEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _encoders[path] = PartEncoder(tokenizer, _RUN, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
+        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        # byte-level BPE writes each byte of a piece as one character
+        sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())], np.int64)
+        _encoders[path] = PartEncoder(tokenizer, _RUN, special, sizes=sizes)
     return _encoders[path]
 
 

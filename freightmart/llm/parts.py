@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 CACHE_PARTS = 600_000
 #: Bytes of text encoded together.
 ENCODE_BYTES = 2 << 20
+#: New parts encoded as one text.
+JOINED = 2_000
 
 
 class PartEncoder:
@@ -20,10 +22,15 @@ class PartEncoder:
     ``odd`` is found, or a token of ``special``, go through the tokenizer whole.
     """
 
-    def __init__(self, tokenizer, odd: str, special: list[str], unknown: int | None = None, byte_ids: list[int] | None = None):
-        """With ``byte_ids`` the text of an ``unknown`` token becomes the ids of its bytes."""
+    def __init__(self, tokenizer, odd: str, special: list[str], unknown: int | None = None, byte_ids: list[int] | None = None,
+                 sizes: np.ndarray | None = None):
+        """With ``byte_ids`` the text of an ``unknown`` token becomes the ids of its bytes.
+
+        ``sizes`` tells how many bytes of text each id stands for; with it new parts are encoded many at a time, as one text.
+        """
         self.tokenizer, self.odd, self.special = tokenizer, odd, special
         self.unknown, self.byte_ids = unknown, byte_ids
+        self.sizes = sizes if not any(" " in token for token in special) else None
         self.known: dict[str, bytes] = {}
 
     def ids(self, encoding) -> list[int]:
@@ -37,11 +44,34 @@ class PartEncoder:
         run = self.tokenizer.encode_batch_fast if self.byte_ids is None else self.tokenizer.encode_batch  # only the latter keeps tokens
         return [np.array(self.ids(e), "<u4").tobytes() for e in run(texts, add_special_tokens=False)]
 
-    def learn(self, parts: list[str]) -> None:
+    def learn(self, parts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_PARTS:
             self.known.clear()
-        new = [p for p in parts if p not in self.known]
-        self.known.update(zip(new, self.batch(new), strict=True))
+        made = list(map(self.known.get, parts))
+        places = [i for i, ids in enumerate(made) if ids is None]
+        new = list(dict.fromkeys([parts[i] for i in places]))
+        if self.sizes is None:
+            self.known.update(zip(new, self.batch(new), strict=True))
+        else:
+            # a part without a space before it cannot follow another one
+            heads = [p for p in new if p[:1] != " "]
+            self.known.update(zip(heads, self.batch(heads), strict=True))
+            new = [p for p in new if p[:1] == " "]
+            for i in range(0, len(new), JOINED):
+                self.known.update(zip(new[i:i + JOINED], self.joined(new[i:i + JOINED]), strict=True))
+        for i in places:
+            made[i] = self.known[parts[i]]
+        return made
+
+    def joined(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that begin with a space, encoded as one text and cut where the bytes of a part end."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode("utf-8")) for p in parts])
+        last = np.searchsorted(ends, wanted)
+        if last[-1] >= len(ends) or (ends[last] != wanted).any():
+            return self.batch(parts)
+        raw, cuts = ids.tobytes(), [0, *((last + 1) * 4).tolist()]
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The texts must not be null."""
@@ -59,13 +89,16 @@ class PartEncoder:
         # a text's first part has no space before it: it gets an entry of its own
         unit = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         heads = flat.dictionary.take(flat.indices.take(pa.array(ends[:-1]))).to_pylist()
-        units = [" " + p for p in flat.dictionary.to_pylist()]
+        used = np.ones(len(unit), bool)
+        used[ends[:-1]] = False
+        spaced = np.zeros(len(flat.dictionary), bool)
+        spaced[unit[used]] = True
+        # entries that only begin texts are left out, and the others numbered anew
+        units = pc.binary_join_element_wise(pa.scalar(""), flat.dictionary.filter(pa.array(spaced)), " ").to_pylist()
+        unit = (np.cumsum(spaced) - 1)[unit]
         unit[ends[:-1]] = len(units) + np.arange(len(heads))
         units += heads
-        used = np.zeros(len(units), bool)
-        used[unit] = True
-        self.learn(list({u for u, x in zip(units, used, strict=True) if x}))
-        made = [self.known[u] if x else b"" for u, x in zip(units, used, strict=True)]
+        made = self.learn(units)
         size = np.fromiter(map(len, made), np.int64, len(made)) // 4
         ids = np.frombuffer(b"".join(made), "<u4")
         first, n = (np.cumsum(size) - size)[unit], size[unit]
