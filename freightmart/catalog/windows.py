@@ -136,7 +136,7 @@ def group_totals(t):
         "returned": F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)),
         "last_shipped": F.max(F.col("l_shipdate").cast("date")),
     }, nullable=False)
-    rows = attach_totals(rows, ["flag"], {"flag_total": F.sum(money("l_extendedprice"))})
+    rows = attach_totals(rows, ["flag"], {"flag_total": F.sum(money("l_extendedprice"))}, few=True)
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_quantity") / F.col("q"), 6).alias("share"),
         "lines", "returned", "last_shipped", "flag_total",

@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+# rows of a dictionary or of totals that every task can hold
+FEW = 10_000
+
+
+def few_rows(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept, and marked for broadcast where it has ``FEW`` rows at most, counted first.
+
+    A join on few keys fills few partitions of a shuffle. Adaptive execution then leaves it a merge join however small one
+    side is, and a task reads all rows of a key. More rows than that are left to a shuffle.
+    """
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if kept.limit(FEW + 1).count() <= FEW else kept
+
 
 def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a] == right[b] for a, b in pairs])

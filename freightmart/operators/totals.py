@@ -14,21 +14,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .joins import few_rows
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def attach_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column], nullable: bool = True) -> DataFrame:
+def attach_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column], nullable: bool = True, few: bool = False) -> DataFrame:
     """Add the aggregates ``totals`` of each key group to every row of the group.
 
     NULL keys are a group; with ``nullable=False`` their rows get NULL totals. The join compares null-safely, which Spark deals out by other expressions than the aggregate: both of its sides are
-    plain shuffles, and only those can be split when a key is hot.
+    plain shuffles, and only those can be split when a key is hot. ``few`` is for keys of few values, such as codes: the totals
+    are counted, and the rows are not dealt out by them if there are few indeed.
     """
     grouped = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in totals.items()])
     grouped = grouped if nullable else grouped.dropna(subset=list(keys))
     renamed = grouped.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *totals)
+    renamed = few_rows(renamed) if few else renamed
     pairs = [(k, f"__k_{k}") for k in keys]
     return df.join(renamed, null_safe(df, renamed, pairs), "left").drop(*[b for _, b in pairs])
 
