@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import literals as fixed
 from ..functions.ladder import yes_no
 from ..functions.semantics import descending, has_ref, live, repair_year, route_key
-from ..operators.joins import lookup
+from ..operators.joins import few_rows, lookup
 from ..operators.topk import first_per_key
 
 # Yes / no texts in small letters and the sales document text
@@ -17,10 +17,9 @@ YES, NO = "да", "нет"
 
 def latest_status(register: DataFrame, statuses: DataFrame, out: str, must_have_name: bool = False) -> DataFrame:
     """Latest status name per document. ``register``: document, status, period; ``statuses``: ref, name."""
-    named = register.join(
-        statuses.select(F.col("ref").alias("status"), F.col("name").alias(out)), "status",
-        "inner" if must_have_name else "left",
-    )
+    # all documents share a few statuses: they are not dealt out by them
+    names = few_rows(statuses.select(F.col("ref").alias("status"), F.col("name").alias(out)))
+    named = register.join(names, "status", "inner" if must_have_name else "left")
     return first_per_key(named, ["document"], [descending("period"), descending(out)]).select("document", out)
 
 
@@ -32,7 +31,7 @@ def route_base(routes: DataFrame, route_lines: DataFrame, requests: DataFrame, s
     line_unloaded_at. ``requests``: ref, number, deleted, posted.
     """
     recent = live(routes).where(F.col("day") > F.lit(since).cast("timestamp_ntz"))
-    named = lookup(recent, statuses, "status", "ref", {"name": "route_status"})
+    named = lookup(recent, few_rows(statuses.select("ref", "name")), "status", "ref", {"name": "route_status"})
     named = named.where(F.col("route_status") != fixed.CANCELLED_BY_CUSTOMER)
     kept = named.select(F.col("ref").alias("route"), F.col("number").alias("route_number"), "day", "route_status", "unloaded_at")
     asked = live(requests).select(F.col("ref").alias("request"), F.col("number").alias("request_number"))
