@@ -127,9 +127,11 @@ class PieceCodec:
         in_bytes = None
         if self.model.algorithm == UNIGRAM and self.model.byte_fallback:
             in_bytes = [self.model.pieces.index(f"<0x{b:02X}>") for b in range(256)]
-        self.parts = PartEncoder(self.model.tokenizer(), "  " if plain else "(?s).", users, self.model.kinds.index(UNKNOWN), in_bytes)
         surfaces = self.model.surfaces()
         self.size = np.array([len(s) for s in surfaces], np.int64)
+        # merges that stay within parts are those of the parts alone; unknown pieces stand for any text: none counts as long as it
+        sizes = np.where(np.array(self.model.kinds) == UNKNOWN, 0, self.size) if plain and self.model.algorithm == BPE else None
+        self.parts = PartEncoder(self.model.tokenizer(), "  " if plain else "(?s).", users, self.model.kinds.index(UNKNOWN), in_bytes, sizes)
         self.first = np.cumsum(self.size) - self.size
         self.bytes = np.frombuffer(b"".join(surfaces), np.uint8)
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from freightmart.llm import packing
+from freightmart.llm import packing, pieces
 
 
 def test_new_parts_are_encoded_together():
@@ -19,3 +19,20 @@ def test_new_parts_are_encoded_together():
     # only odd texts and the texts' first parts go one by one
     assert sum(calls) <= 2 * len(texts)
     packing._encoders.clear()
+
+
+def test_new_parts_of_pieces_are_encoded_together():
+    import sentencepiece
+
+    own, other = pieces.PieceCodec(pieces.model_file()), sentencepiece.SentencePieceProcessor(model_file=pieces.model_file())
+    texts = ["", " ", "a", " lead", "one two,three  four", "x\n y\t z", "нет ü 世界 🙂 end", "a ▁b ▁", "tail ", "\u0000 \u0007 \U0010ffff", "<unk> <s> <0x41>"]
+    texts += [" ".join(f"w{i}-{j}" for j in range(50)) for i in range(100)]
+    calls, batch = [], own.parts.batch
+    own.parts.batch = lambda parts: calls.append(len(parts)) or batch(parts)
+    for text, ids in zip(texts, own.encode(pa.array(texts, pa.string())), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == other.encode(text), text
+    assert sum(calls) < 1000
+    # with the dummy prefix every text's first part begins with a space, too
+    calls.clear()
+    own.encode(pa.array([" ".join(f"v{i}-{j}" for j in range(50)) for i in range(100)]))
+    assert sum(calls) <= 100
