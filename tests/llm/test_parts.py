@@ -21,6 +21,26 @@ def test_new_parts_are_encoded_together():
     packing._encoders.clear()
 
 
+class Recorder:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.longest = tokenizer, 0
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.longest = max([self.longest, *(t.count(" ") for t in texts)])
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+
+def test_joined_texts_are_short():
+    packing._encoders.clear()
+    encoder = packing.encoder(packing.vocabulary())
+    encoder.tokenizer = Recorder(encoder.tokenizer)
+    text = " ".join(f"w{i}" for i in range(3000))
+    made = encoder.encode(pa.array([text]))
+    assert np.frombuffer(made[0], "<u4").tolist() == encoder.tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
+    assert 1 < encoder.tokenizer.longest <= 200
+    packing._encoders.clear()
+
+
 def test_new_parts_of_pieces_are_encoded_together():
     import sentencepiece
 
