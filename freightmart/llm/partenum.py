@@ -4,21 +4,23 @@ Sets of word shingles with sizes in one band differ in at most k elements if the
 shingle hashes is cut into partitions; each difference spoils one partition, so two similar sets agree on the contents
 of all but k. In the terms of PartEnum a first-level partition is cut in n2 = 2 and may hold k2 = 1 difference; every
 subset of n2 - k2 = 1 of its parts is a signature: the content of one part, no larger subsets are enumerated. In bands of
-up to SINGLE elements every element is a signature, an inverted index with overlap counts. More than k signatures that are not shared by very many sets prove
-that none is needed that is. What shares a signature is verified on the whole sets.
+up to SINGLE elements every element is a signature, an inverted index with overlap counts. Signatures that very many sets
+share are left out; where the others of both sets are too few to prove a link, the sets' rarest elements take their place:
+two similar sets share one that is not among the most shared 3/4 of either. What shares enough is verified on the whole sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .base import keep, pick, steps
+from ..session import cut_lineage
+from .base import pick, steps
 from .components import components
 
 WORDS = 5
@@ -27,8 +29,8 @@ UP, DOWN = 3, 4
 #: Bands of sizes grow by this factor; up to SINGLE elements every element is a partition of its own, above a
 #: partition of the band's largest sets holds so many elements.
 BAND, SINGLE, ELEMENTS = 3, 80, 2.2
-#: A signature that more sets share is hot: only sets that lack enough others are looked up by it.
-HOT = 64
+#: A signature that more sets share is hot: sets that lack enough others are looked up by their rarest elements.
+HOT = 32
 #: Signatures that a task gathers before it deals them out to buckets, and documents for each bucket.
 FLUSH, BUCKET_DOCS = 1_500_000, 8192
 #: Shared signatures of pairs that are verified first.
@@ -37,8 +39,9 @@ LIKELY = 3
 FEW_PAIRS = 40
 #: So many counted rows at most are broadcast.
 BROADCAST_ROWS = 1_000_000
-#: Rounds of one pivot a group before all pairs between unlinked parts of the remaining groups are verified.
-PIVOT_ROUNDS = 6
+#: Rounds of pivots before all pairs between unlinked parts of the remaining groups are verified: one pivot a group of
+#: sets that share signatures, so many a group of any size that share an element.
+PIVOT_ROUNDS, PIVOTS = 2, 8
 
 _BANDS = np.array([BAND**i for i in range(33)], np.int64)
 
@@ -83,6 +86,12 @@ def signatures(values: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.nda
         yield rows, rows[owner], made, np.stack([kind, beyond], axis=1)
 
 
+def elements(values: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Like signatures, with every element as a signature of one kind for sets of any size."""
+    n = np.diff(offsets)
+    yield np.arange(len(n)), np.repeat(np.arange(len(n)), n), W.mix(values + np.uint64(1)), np.zeros((len(n), 2), np.int64)
+
+
 def sets_of(batch: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray]:
     texts = W.Texts.of(batch.column(text))
     data = W.lower(texts.data)
@@ -118,7 +127,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(made, "doc_id bigint, n_shingles bigint, key bigint, key2 bigint, slack array<int>")
 
 
-def dealt(docs: DataFrame, buckets: int) -> DataFrame:
+def dealt(docs: DataFrame, buckets: int, signs: Callable = signatures) -> DataFrame:
     """All signatures by bucket, packed: 40 bits of each, and the sets' keys with the number of signatures in a row."""
 
     def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -143,7 +152,7 @@ def dealt(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in steps(batches, 1):
             values, offsets = sets_of(batch, 1)
             key, _ = set_keys(values, offsets)
-            for _, row, sign, _ in signatures(values, offsets):
+            for _, row, sign, _ in signs(values, offsets):
                 held.append((key[row], sign))
                 total += len(row)
             if total >= FLUSH:
@@ -206,48 +215,62 @@ def shared(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(found, "kind int, a bigint, b bigint, members array<bigint>, n bigint")
 
 
+def rows_of(docs: DataFrame, wanted: DataFrame, total: int) -> DataFrame:
+    """Documents with the columns of their ``total`` wanted rows (doc_id, key, ...): copies of a doc_id whose set has another key are among them.
+
+    Up to BROADCAST_ROWS wanted rows are broadcast; more are joined by shuffling.
+    """
+    return docs.join(F.broadcast(wanted) if total <= BROADCAST_ROWS else wanted, "doc_id")
+
+
 def elements_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key and packed elements (40 bits of each, sorted by them) of the wanted (doc_id, key).
+    """to, key and packed elements (40 bits of each, sorted by them) of the wanted (doc_id, key, to), one row for each of ``to``.
 
-    Up to BROADCAST_ROWS of them, as counted, are broadcast; more are joined by shuffling. Classes whose rows all lack a
-    doc_id are found by the key, among the rows without one.
+    Classes whose rows all lack a doc_id are found by the key, among the rows without one.
     """
 
-    def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    def packed(values: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         raw = []
         for a, b in zip(offsets[:-1], offsets[1:], strict=True):
             x = values[a:b] >> np.uint64(24)
             raw.append(x.astype("<u4").tobytes() + (x >> np.uint64(32)).astype(np.uint8).tobytes())
-        return pa.array(raw, pa.binary())
+        return raw
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, 1):
             values, offsets = sets_of(batch, 1)
             key, _ = set_keys(values, offsets)
-            right = pa.array(key == batch.column(2).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(key), packed(values, offsets)], ["key", "elements"]).filter(right)
+            raw = packed(values, offsets)
+            for i in np.flatnonzero(key == batch.column(2).to_numpy()).tolist():
+                to = batch.column(3)[i].values
+                for at in range(0, len(to), 64):
+                    part = to.slice(at, 64)
+                    yield pa.RecordBatch.from_arrays([part, pa.array(np.full(len(part), key[i])), pa.array([raw[i]] * len(part), pa.binary())], ["to", "key", "elements"])
 
     def nameless(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, 1):
             values, offsets = sets_of(batch, 1)
-            yield pa.RecordBatch.from_arrays([pa.array(set_keys(values, offsets)[0]), packed(values, offsets)], ["key", "elements"])
+            yield pa.RecordBatch.from_arrays([pa.array(set_keys(values, offsets)[0]), pa.array(packed(values, offsets), pa.binary())], ["key", "elements"])
 
-    wanted = keep(wanted)
+    wanted = cut_lineage(wanted.groupBy("doc_id", "key").agg(F.collect_list("to").alias("to")))
     total, named = wanted.agg(F.count("*"), F.count("doc_id")).first()
-    side = F.broadcast(wanted) if total <= BROADCAST_ROWS else wanted
-    found = docs.join(side, "doc_id").select("doc_id", "text", "key").mapInArrow(made, "key bigint, elements binary")
+    found = rows_of(docs, wanted, total).select("doc_id", "text", "key", "to").mapInArrow(made, "to bigint, key bigint, elements binary")
     if named == total:
         return found
-    lost = side.where("doc_id is null").select("key")
+    lost = wanted.where("doc_id is null").select("key", F.explode("to").alias("to"))
     rows = docs.where("doc_id is null").select("doc_id", "text").mapInArrow(nameless, "key bigint, elements binary")
     # copies are aggregated: one row for each key
-    return found.unionByName(rows.join(F.broadcast(lost) if total <= BROADCAST_ROWS else lost, "key").groupBy("key").agg(F.first("elements").alias("elements")))
+    return found.unionByName(rows.join(lost.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("elements").alias("elements"))
+                             .join(lost, "key").select("to", "key", "elements"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of keys whose sets are similar enough, compared as whole sets."""
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = keep(elements_of(docs, keys.join(classes, "key").select("doc_id", "key")))
+    names = classes.select("key", "doc_id")
+    ask = pairs.select(F.col("b").alias("key"), F.col("a").alias("to"))
+    own = pairs.select(F.col("a").alias("key")).distinct().withColumn("to", F.col("key"))
+    x = elements_of(docs, own.join(names, "key")).select(F.col("to").alias("a"), F.col("elements").alias("x"))
+    y = elements_of(docs, ask.join(names, "key")).select(F.col("to").alias("a"), F.col("key").alias("b"), F.col("elements").alias("y"))
 
     def unpack(x: pa.BinaryScalar) -> np.ndarray:
         raw = x.as_buffer()
@@ -264,75 +287,108 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                 good.append(DOWN * common >= UP * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    joined = (pairs.join(sets.select(F.col("key").alias("b"), F.col("elements").alias("y")), "b")
-              .join(sets.select(F.col("key").alias("a"), F.col("elements").alias("x")), "a").select("a", "b", "x", "y"))
-    return keep(joined.mapInArrow(check, "a bigint, b bigint").distinct())
+    joined = y.join(x, "a").select("a", "b", "x", "y")
+    return cut_lineage(joined.mapInArrow(check, "a bigint, b bigint").distinct())
+
+
+def listed_groups(found: DataFrame) -> DataFrame:
+    """gid, members and n of the groups that ``shared`` found in all buckets."""
+    return (found.where(F.col("kind") == GROUP).groupBy("members").agg(F.sum("n").alias("n"))
+            .select(F.xxhash64("members").alias("gid"), "members", "n"))
+
+
+def rare_elements(docs: DataFrame, classes: DataFrame, lacking: DataFrame) -> DataFrame:
+    """gid, key, n, reach and size: the rarest elements of the lacking classes (key), those of the same sets counted as n of one gid.
+
+    Only elements that several of these sets share are listed. Of similar sets with a and b elements both hold UP / DOWN of
+    either and more: without the most shared ones up to that number, ties by gid, they still share one. The first they share has a
+    ``reach`` (the elements from it on) of UP / (UP + DOWN) * (a + b) at least in both.
+    """
+    wanted = cut_lineage(lacking.join(classes, "key").select("doc_id", "key"))
+    total, named = wanted.agg(F.count("*"), F.count("doc_id")).first()
+    rows = rows_of(docs, wanted.select("doc_id").where("doc_id is not null").distinct(), total).select("doc_id", "text")
+    if named < total:
+        rows = rows.unionByName(docs.where("doc_id is null").select("doc_id", "text"))
+    found = cut_lineage(shared(dealt(rows, max(12, -(-total // BUCKET_DOCS)), elements)))
+    hot = found.where(F.col("kind") == SHARED).select(F.xxhash64("a", F.lit(1)).alias("gid"), F.col("b").alias("key"))
+    hot = hot.join(hot.groupBy("gid").agg(F.count("*").alias("f")), "gid").withColumn("n", F.lit(1).cast("bigint"))
+    listed = listed_groups(found).select(F.xxhash64("gid", F.lit(2)).alias("gid"), F.explode("members").alias("key"), F.size("members").cast("bigint").alias("f"), "n")
+    last = Window.partitionBy("key").orderBy(F.desc("f"), "gid").rowsBetween(Window.unboundedPreceding, 0)
+    return (hot.select("gid", "key", "f", "n").unionByName(listed).withColumn("reach", F.sum("n").over(last)).join(classes.select("key", "size"), "key")
+            .where(F.col("reach") * DOWN >= F.col("size") * UP).select("gid", "key", "n", "reach", "size"))
 
 
 def with_components(groups: DataFrame, known: DataFrame) -> DataFrame:
     return (groups.join(known.select(F.col("node").alias("key"), "component"), "key", "left")
-            .select("gid", "key", "n", F.coalesce("component", "key").alias("component")))
+            .select("gid", "key", "n", "reach", "size", "rest", F.coalesce("component", "key").alias("component")))
+
+
+def candidates(left: DataFrame, right: DataFrame, apart: Column, enough: Column) -> DataFrame:
+    """Pairs of keys (a, b) of one gid whose sizes allow a link and that share an element within reach, or ``enough`` signatures.
+
+    ``left`` and ``right`` are rows of the groups whose columns end in _a and _b, ``apart`` tells which of them are paired.
+    """
+    close = F.least("size_a", "size_b") * DOWN >= F.greatest("size_a", "size_b") * UP
+    near = F.col("reach_a").isNull() | (F.least("reach_a", "reach_b") * (UP + DOWN) >= (F.col("size_a") + F.col("size_b")) * UP)
+    met = left.join(right, "gid").where(apart & close & near)
+    met = met.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), F.col("n_b").alias("n"),
+                     F.when(F.col("reach_a").isNull(), F.greatest("rest_a", "rest_b")).alias("rest"))
+    return met.groupBy("a", "b").agg(F.sum(F.when(F.col("rest").isNotNull(), F.col("n"))).alias("n"), F.max("rest").alias("rest"),
+                                     F.max(F.col("rest").isNull()).alias("rare")).where(F.col("rare") | (F.col("n") >= enough)).select("a", "b")
+
+
+def side_of(rows: DataFrame, side: str) -> DataFrame:
+    return rows.select("gid", *(F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "gid"))
 
 
 def linked_classes(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """node and component for every set key that is linked with another; component is the least key.
 
-    First the pairs of a group's least key and another that share LIKELY signatures are verified: most copies are in
-    one component then. What is left are groups with sets of several components. There all pairs are counted, and those
-    that share as many signatures as a similar pair must are verified too, so that no link is missed.
+    First sets are verified with a pivot of each group they are in, if they share LIKELY signatures or an element within
+    reach: most copies are in one component then. What is left are groups with sets of several components. There all pairs
+    are counted, and those that share as much as a similar pair must are verified too, so that no link is missed.
     """
-    found = keep(shared(dealt(docs, max(12, -(-prints.count() // BUCKET_DOCS)))))
-    classes = keep(prints.where("n_shingles > 0").groupBy("key").agg(
+    found = cut_lineage(shared(dealt(docs, max(12, -(-prints.count() // BUCKET_DOCS)))))
+    classes = cut_lineage(prints.where("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.min_by("n_shingles", "key2").alias("size"), F.min_by("slack", "key2").alias("slack")))
     kinds = F.expr("transform(sequence(0, size(slack) - 2, 2), i -> struct(slack[i] as sort, slack[i + 1] as beyond))")
-    beyond = classes.select("key", F.explode(kinds).alias("x")).select("key", "x.*")
-    # a hot signature matters to a set only if the set's others are too few to prove a link
-    hot = found.where(F.col("kind") == SHARED).select(F.col("a").alias("gid"), F.col("b").alias("key"), F.col("a").bitwiseAND(63).cast("int").alias("sort"))
-    counted = beyond.join(hot.groupBy("key", "sort").agg(F.count("*").alias("n")), ["key", "sort"]).withColumn("lacks", F.col("n") >= F.col("beyond"))
-    counted = keep(counted)
-    hot = keep(hot.join(counted.where("lacks").select("key", "sort"), ["key", "sort"]).select("gid", "key"))
-    listed = keep(found.where(F.col("kind") == GROUP).groupBy("members").agg(F.sum("n").alias("n"))
-                  .select(F.xxhash64("members").alias("gid"), "members", "n"))
-    # what a similar set must share at least: with hot signatures if both lack others in all their kinds, else without
-    needs = keep(beyond.join(counted.select("key", "sort", "n", "lacks"), ["key", "sort"], "left").groupBy("key")
-             .agg(F.min("beyond").alias("full"), (F.min("beyond") - F.sum(F.coalesce("n", F.lit(0)))).alias("rest"), F.min(F.coalesce("lacks", F.lit(False))).alias("lacks"))
-             .join(classes.select("key", "size"), "key"))
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow a link and that share enough signatures (column n; null: not counted)."""
-        for side in "ab":
-            pairs = pairs.join(needs.select(F.col("key").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("size", "full", "rest", "lacks"))), side)
-        enough = F.when(F.col("lacks_a") & F.col("lacks_b"), F.greatest("full_a", "full_b")).otherwise(F.greatest("rest_a", "rest_b"))
-        close = F.least("size_a", "size_b") * DOWN >= F.greatest("size_a", "size_b") * UP
-        return pairs.where(close & (F.col("n").isNull() | (F.col("n") >= enough))).select("a", "b")
-
-    likely = (listed.select(F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, HOT)).alias("b"), "n")
-              .groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= LIKELY).select("a", "b"))
-    stars = hot.join(hot.groupBy("gid").agg(F.min("key").alias("a")), "gid").where("a <> key").select("a", F.col("key").alias("b"))
-    pairs = keep(sized(likely.unionByName(stars).distinct().withColumn("n", F.lit(None).cast("bigint"))))
-    links = verified(pairs, docs, classes)
-    known = components(links)
-    groups = keep(listed.select("gid", F.explode("members").alias("key"), "n").unionByName(hot.withColumn("n", F.lit(1).cast("bigint"))))
+    beyond = classes.select("key", "size", F.explode(kinds).alias("x")).select("key", "size", "x.*")
+    # hot signatures are left out; a set lacks others if these are too few to prove a link
+    hot = found.where(F.col("kind") == SHARED).select(F.col("b").alias("key"), F.col("a").bitwiseAND(63).cast("int").alias("sort"))
+    counted = hot.groupBy("key", "sort").agg(F.count("*").alias("n"))
+    # what a similar set must share at least of the others, unless both lack them
+    needs = cut_lineage(beyond.join(counted, ["key", "sort"], "left").groupBy("key", "size")
+                 .agg((F.min("beyond") - F.sum(F.coalesce("n", F.lit(0)))).alias("rest"), F.max(F.coalesce(F.col("n") >= F.col("beyond"), F.lit(False))).alias("lacks")))
+    listed = listed_groups(found).select("gid", F.explode("members").alias("key"), "n").join(needs.select("key", "size", "rest"), "key")
+    groups = listed.select("gid", "key", "n", F.lit(None).cast("bigint").alias("reach"), "size", "rest")
+    lacking = needs.where("lacks").select("key")
+    if not lacking.isEmpty():
+        groups = groups.unionByName(rare_elements(docs, classes, lacking).withColumn("rest", F.lit(None).cast("bigint")))
+    groups = cut_lineage(groups)
+    known, links = None, None
     for turn in range(PIVOT_ROUNDS + 1):
-        rows = with_components(groups, known)
-        open_groups = rows.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        rest = keep(rows.join(open_groups.select("gid"), "gid"))
-        size, cross = (int(x or 0) for x in rest.groupBy("gid", "component").agg(F.count("*").alias("c")).groupBy("gid")
-                       .agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
-                       .agg(F.sum("m"), F.sum(F.col("m") * F.col("m") - F.col("own"))).first())
-        if not size:
-            break
-        last = turn == PIVOT_ROUNDS or cross // 2 <= FEW_PAIRS * size
-        right = rest.select("gid", F.col("key").alias("b"), F.col("component").alias("cb"), "n")
+        if known is None:
+            rest, last = groups.withColumn("component", F.col("key")), False
+        else:
+            rows = with_components(groups, known)
+            open_groups = rows.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+            rest = cut_lineage(rows.join(open_groups.select("gid"), "gid"))
+            size, cross = (int(x or 0) for x in rest.groupBy("gid", "component").agg(F.count("*").alias("c")).groupBy("gid")
+                           .agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
+                           .agg(F.sum("m"), F.sum(F.col("m") * F.col("m") - F.col("own"))).first())
+            if not size:
+                break
+            last = turn == PIVOT_ROUNDS or cross // 2 <= FEW_PAIRS * size
         if last:
-            left = rest.select("gid", F.col("key").alias("a"), F.col("component").alias("ca"))
-            fresh = (left.join(right, "gid").where("ca < cb").groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-                     .agg(F.sum("n").alias("n")).select(F.col("x").alias("a"), F.col("y").alias("b"), "n"))
+            fresh = candidates(side_of(rest.drop("n"), "a"), side_of(rest, "b"), F.col("component_a") < F.col("component_b"), F.col("rest"))
         else:
-            pivot = rest.groupBy("gid").agg(F.min_by(F.struct("key", "component"), F.xxhash64("key", F.lit(turn))).alias("p"))
-            fresh = (right.join(pivot.select("gid", F.col("p.key").alias("a"), F.col("p.component").alias("ca")), "gid").where("ca <> cb")
-                     .groupBy("a", "b").agg(F.lit(None).cast("bigint").alias("n"), F.sum("n").alias("times")).where(F.col("times") >= LIKELY).drop("times"))
-        links = links.unionByName(verified(keep(sized(fresh)), docs, classes))
+            picked = [F.min_by(F.struct("key", "reach", "size", "rest", "component"), F.xxhash64("key", F.lit(PIVOTS * turn + i))) for i in range(PIVOTS)]
+            pivot = rest.groupBy("gid").agg(F.array(*picked).alias("p"))
+            pivot = pivot.select("gid", F.explode(F.when(F.col("p")[0]["reach"].isNull(), F.slice("p", 1, 1)).otherwise(F.array_distinct("p"))).alias("p"))
+            fresh = candidates(side_of(pivot.select("gid", "p.*"), "a"), side_of(rest, "b"), F.col("component_a") != F.col("component_b"),
+                               F.least("rest", F.lit(LIKELY)))
+        found_links = verified(cut_lineage(fresh), docs, classes)
+        links = found_links if links is None else links.unionByName(found_links)
         known = components(links)
         if last:
             break
@@ -365,7 +421,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 def linked_rows(docs: DataFrame) -> DataFrame:
     """The rows of jaccard_join with group_id: components may have the same least doc_id where doc_ids repeat, groups are apart."""
     rows = pick(docs, doc_id="doc_id bigint", text="text string")
-    prints = keep(fingerprints(rows))
+    prints = cut_lineage(fingerprints(rows))
     known = linked_classes(rows, prints)
     classes = (prints.where("n_shingles > 0").groupBy("key", "key2").agg(F.min("doc_id").alias("least"))
                .join(known.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))

@@ -9,6 +9,7 @@ import pytest
 from freightmart.llm import forest, partenum, topk, vectors
 from freightmart.llm.forest import nearest
 from freightmart.llm.packing import CAPACITY, best_fit_packing, cut, pack
+from freightmart.llm.components import components
 from freightmart.llm.partenum import jaccard_join
 from freightmart.llm.topk import exact_top_k
 
@@ -177,3 +178,30 @@ def test_packing_of_documents(llm, edge_documents):
             assert offset == ends[-1]
             ends.append(offset + length)
         assert ends[-1] <= CAPACITY
+
+
+def test_common_passage_makes_few_pairs(llm, monkeypatch):
+    """Unlinked sets that a passage makes up for more than half are not paired with each other; links among them are found."""
+    checked, plain = [], partenum.verified
+
+    def counted(pairs, docs, classes):
+        checked.append(pairs.count())
+        return plain(pairs, docs, classes)
+
+    monkeypatch.setattr(partenum, "verified", counted)
+    monkeypatch.setattr(partenum, "HOT", 8)
+    rng = random.Random(21)
+    passage = prose(rng, 80)
+    docs = [(i, passage + " " + " ".join(f"u{i}x{j}" for j in range(36 + i % 3))) for i in range(120)]
+    docs += [(500 + i, docs[i][1] + " end") for i in range(20)]
+    rows = jaccard_join(llm.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute(docs)
+    assert sum(checked) <= 2 * len(docs), checked
+
+
+def test_components_estimate_does_not_grow_with_rounds(llm):
+    """A chain needs many rounds; the size that the planner assumes for the result is not the product of all their joins."""
+    edges = llm.createDataFrame([(i, i + 1) for i in range(60)], "a bigint, b bigint")
+    found = components(edges)
+    assert {r["component"] for r in found.collect()} == {0}
+    assert int(str(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 2**80
