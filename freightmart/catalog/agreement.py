@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import literals as fixed
 from ..plans import convergence, waybills
+from ..session import cut_lineage
 from ..sources.tables import calendar
 from .recon import LI_SQL, headers, lines
 from .registry import money, query, text
@@ -216,7 +217,9 @@ def convergence_mpi(t):
 
 
 def waybill_tables(t):
-    rows = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    # every table of the waybills is made of the same lines, which are joined once and kept
+    rows = cut_lineage(t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate"))
     flag, priority = F.col("l_returnflag"), F.col("o_orderpriority")
     key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
     old = F.col("l_shipdate") - F.expr("INTERVAL 1975 YEARS")
@@ -315,11 +318,12 @@ WHERE unload_place <> ''
 """)
 def edi_status(t):
     routes, route_lines, requests, statuses, packages, sales, register, names = waybill_tables(t)
-    base = waybills.route_base(routes, route_lines, requests, statuses, "1996-06-01")
+    # the base is met twice; what is joined in the end is kept, so that only one part's shuffles are on disk at a time
+    base = cut_lineage(waybills.route_base(routes, route_lines, requests, statuses, "1996-06-01"))
     electronic = waybills.electronic_documents(register, names)
     paper = waybills.latest_status(register, names, "paper_status", must_have_name=True)
-    packs = waybills.incoming_packages(packages, routes, route_lines, requests)
-    sold = waybills.sales_documents(sales, base, routes, route_lines, requests, electronic, paper)
+    packs = cut_lineage(waybills.incoming_packages(packages, routes, route_lines, requests))
+    sold = cut_lineage(waybills.sales_documents(sales, base, routes, route_lines, requests, cut_lineage(electronic), cut_lineage(paper)))
     rows = waybills.waybill_status(base, packs, sold, calendar(t.spark, "1995-01-01", "2002-12-31"))
     return rows.select(
         "key", "route_number", "request_number", "route_status", "load_place", "unload_place", "loaded_at", "line_unloaded_at",
