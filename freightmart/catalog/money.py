@@ -38,15 +38,17 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey
 
 
 def route_rows(t):
-    heads = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
-    rows = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).join(heads, F.col("o_orderkey") == F.col("l_orderkey"))
+    # lines and orders meet by the number of the request, by which the reports group and join: those move no rows again
+    heads = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).withColumn("request_number", text("o_orderkey"))
+    lines = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).withColumn("request_number", text("l_orderkey"))
+    rows = lines.join(heads, "request_number")
     flag, line, tax = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_tax")
     shipped = F.col("l_shipdate")
     days = lambda n: F.expr(f"INTERVAL {n} DAYS")
     final = F.when(line == 6, F.lit(None)).when(F.col("o_orderstatus") == "F", F.lit(STATUSES["F"])).when(
         F.col("o_orderstatus") == "O", F.lit(STATUSES["O"])).otherwise(F.lit(STATUSES["P"]))
     return rows.select(
-        text("o_orderkey").alias("request_number"), F.col("o_orderdate").alias("request_date"),
+        "request_number", F.col("o_orderdate").alias("request_date"),
         F.when(line < 7, F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("route_number"),
         F.when(flag != "R", shipped).alias("route_date"), F.col("c_name").alias("payer"), F.col("c_mktsegment").alias("payer_group"),
         F.when(flag == "A", F.lit("Автотранспорт")).otherwise(F.lit("Авиа")).alias("delivery_type"),
