@@ -21,6 +21,17 @@ from .totals import null_safe
 CHUNK = 1_000_000
 # rows of one key that a task sorts by itself; keys with more are dealt into ranges
 HOT = 1_000_000
+# keys are first counted together by hash: few counts leave a task, however many keys it has
+BUCKETS = 1 << 16
+
+
+def has_hot_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key has more than ``HOT`` rows. Keys are counted one by one only where those of one hash together have more."""
+    with freed_shuffles(df.sparkSession):
+        for by in (F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("__bucket"),), keys:
+            if df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > HOT).isEmpty():
+                return False
+    return True
 
 
 def sorted_ranges(df: DataFrame, by: Sequence[Column], out: str) -> DataFrame:
@@ -61,9 +72,7 @@ def number_rows(
     rest = [c for c in columns if c not in keys and c not in order]
     sort = [F.col(c).asc_nulls_last() for c in [*order, *rest]]
     counted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    with freed_shuffles(df.sparkSession):
-        cold = df.where(counted).groupBy(*keys).count().where(F.col("count") > HOT).isEmpty()
-    if cold:
+    if not has_hot_key(df.where(counted), keys):
         numbered = df.where(counted).withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*sort)).cast("long"))
         return numbered if where is None else numbered.unionByName(df.where(~counted).withColumn(out, F.lit(0).cast("long")))
     if collapse:

@@ -14,6 +14,7 @@ from ..functions.ladder import Ladder, Rule, yes_no
 from ..functions.semantics import has_ref, is_false, is_true
 from ..operators.joins import lookup
 from ..operators.ordinal import pair_by_ordinal
+from ..session import cut_lineage
 
 # Error texts
 INCOMPLETE = "Неполный комплект первичных документов"
@@ -103,8 +104,9 @@ def convergence_4pl(orders: DataFrame, issued: DataFrame, partner: DataFrame, ar
     The final look back at the orders repeats a row when several orders share
     an order id, as the report has always done.
     """
-    own = orders.join(issued.withColumnRenamed("order", "ref"), "ref", "left")
-    other = partner.join(archive, "archive_id", "left")
+    # both sides are kept before they meet: the disk holds the shuffles of one of them at a time
+    own = cut_lineage(orders.join(issued.withColumnRenamed("order", "ref"), "ref", "left"))
+    other = cut_lineage(partner.join(archive, "archive_id", "left"))
     rows = own.join(other, (own["order_id"] == other["partner_id"]) & (own["item_id"] == other["partner_item"]), "left")
     no, yes = fixed.NO, fixed.YES
     deleted, cancelled, posted = F.col("deleted"), F.col("cancelled"), F.col("posted")
