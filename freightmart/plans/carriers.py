@@ -55,18 +55,22 @@ def transport_versions(
     blamed = carrier_reasons.select(F.col("ref").alias("cancel_reason"), F.lit(1).alias("blamed")).distinct()
     tax = branches.select(F.col("org").alias("carrier"), "tax_id").distinct()
     routed = complex_routes.select("negotiation", F.col("negotiation").alias("complex_route")).distinct()
+    # the current version is an aggregate joined back null-safely: a number with many versions can be split
+    marked = attach_totals(transports, ["number"], {"__current": latest("version", stamp, "version")})
+    current = F.col("version").eqNullSafe(F.col("__current"))
+    # versions are told apart here, so that the joins do not carry their names
+    marked = marked.select(
+        "number", "carrier", "truck", "cancel_reason", "negotiation", "first_driver", current.alias("is_current"),
+        F.when(current, F.col("price")).alias("final_price"),
+        F.when(current, F.when(F.col("status") == "CANCELED", 1).otherwise(0)).alias("cancel_sign"))
     rows = (
-        # the current version is an aggregate joined back null-safely: a number with many versions can be split
-        attach_totals(transports, ["number"], {"__current": latest("version", stamp, "version")})
-        .join(own, "truck", "left").join(blamed, "cancel_reason", "left")
+        marked.join(own, "truck", "left").join(blamed, "cancel_reason", "left")
         .join(tax, "carrier", "left").join(routed, "negotiation", "left")
     )
-    current = F.col("version").eqNullSafe(F.col("__current"))
+    current = F.col("is_current")
     return rows.select(
-        "number", "carrier", "tax_id", "negotiation", "first_driver", current.alias("is_current"),
-        F.when(current, F.col("price")).alias("final_price"),
-        F.when(current, F.coalesce("own", F.lit(0))).alias("own_sign"),
-        F.when(current, F.when(F.col("status") == "CANCELED", 1).otherwise(0)).alias("cancel_sign"),
+        "number", "carrier", "tax_id", "negotiation", "first_driver", "is_current", "final_price",
+        F.when(current, F.coalesce("own", F.lit(0))).alias("own_sign"), "cancel_sign",
         F.coalesce("blamed", F.lit(0)).alias("blamed_sign"),
         F.when(current, F.col("complex_route")).alias("complex_route"),
     )
